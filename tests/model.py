@@ -1,0 +1,39 @@
+"""Reconciliation in plain Python, as a yardstick for small tables."""
+
+
+def text(value):
+    return "" if value is None else str(value).strip()
+
+
+def keyed(rows, keys, compare):
+    table = {}
+    for row in rows:
+        key = tuple(text(row[name]) for name in keys)
+        if key in table:
+            raise ValueError("duplicate")
+        table[key] = {name: text(row[name]) for name in compare if name in row}
+    return table
+
+
+def expected(source, target, keys, compare):
+    """Report lines as a set and the summary counts."""
+    left, right = keyed(source, keys, compare), keyed(target, keys, compare)
+    lines, changed = set(), 0
+    for key in left.keys() | right.keys():
+        if key not in right:
+            lines.add(("MISSING_IN_TARGET", *key, None, None, None))
+        elif key not in left:
+            lines.add(("EXTRA_IN_TARGET", *key, None, None, None))
+        else:
+            cells = [(c, left[key].get(c, ""), right[key].get(c, "")) for c in compare]
+            cells = [cell for cell in cells if cell[1] != cell[2]]
+            changed += bool(cells)
+            lines |= {("VALUE_MISMATCH", *key, *cell) for cell in cells}
+    summary = (
+        len(left),
+        len(right),
+        len(left.keys() - right.keys()),
+        len(right.keys() - left.keys()),
+        changed,
+    )
+    return lines, summary
