@@ -37,8 +37,13 @@ def parse_list(value: str | Iterable[str] | None) -> list[str] | None:
 
 
 def sheet_name(file_name: Column) -> Column:
-    """Tag of a file: its base name without ``.csv``, cut to worksheet length."""
-    return F.substring(F.replace(file_name, F.lit(".csv"), F.lit("")), 1, SHEET_NAME_LENGTH)
+    """Tag of a file: its base name without ``.csv``, cut to worksheet length.
+
+    ``file_name`` is percent-encoded, as file metadata columns are.
+    """
+    # url_decode reads forms, in which a plus sign is a space
+    decoded = F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
+    return F.substring(F.replace(decoded, F.lit(".csv"), F.lit("")), 1, SHEET_NAME_LENGTH)
 
 
 def sheet_name_of(file_name: str) -> str:

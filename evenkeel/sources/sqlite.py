@@ -159,7 +159,7 @@ def _ranges(db: sqlite3.Connection, file: str, table: str, wanted: int) -> list[
         return db.execute(f"SELECT {function}({rowid}) {rows} WHERE {condition}").fetchone()[0]
 
     if end("min") is None:
-        return []
+        return [RowidRange(file, rowid, 0, -1)]
     # Cut the widest range in two and shrink both halves to the rowids they
     # hold, so that gaps in the numbers do not leave all rows to one task.
     spans = [_span(end("min"), end("max"))]
