@@ -21,7 +21,6 @@ def write_report_csv(lines: DataFrame, path: str, mode: str = "errorifexists") -
         .option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("lineSep", "\r\n")
         .csv(path)
     )
 

@@ -195,7 +195,7 @@ def test_write_of_equal_and_of_empty_tables(spark, tmp_path, ordered):
         summary = reconcile(side, side, "id").write(str(path), ordered=ordered)
         assert list(summary.values()) == [count, count, 0, 0, 0]
         text = "".join(part.read_bytes().decode() for part in path.glob("*.csv"))
-        assert text == "reconciliation_type,key_1,column_name,source_value,target_value\r\n"
+        assert text == "reconciliation_type,key_1,column_name,source_value,target_value\n"
 
 
 def test_write_raises_duplicate_key_error(spark, tmp_path):
