@@ -85,16 +85,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
-def _derived(spark: SparkSession, sf_dir: str, name: str, sql: str) -> DataFrame:
+def _derived(table: DataFrame, name: str, sql: str) -> DataFrame:
     """``sql`` over the table ``name``, without leaving a view behind."""
-    return spark.sql(
-        sql.replace(f"FROM {name} ", "FROM {given} "), given=_table(spark, sf_dir, name)
-    )
+    return table.sparkSession.sql(sql.replace(f"FROM {name} ", "FROM {given} "), given=table)
 
 
 def _orders(spark: SparkSession, sf_dir: str, **options) -> Reconciliation:
-    target = _derived(spark, sf_dir, "orders", options.pop("target", ORDERS_TARGET))
     source = _table(spark, sf_dir, "orders")
+    target = _derived(source, "orders", options.pop("target", ORDERS_TARGET))
     # Parquet: reading the key columns twice is cheaper than grouping whole rows.
     return reconcile(source, target, ORDERS_KEY, unique_check="keys_first", **options)
 
@@ -109,8 +107,8 @@ def recon_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recon_report_inline_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = _derived(spark, sf_dir, "orders", ORDERS_TARGET)
-    return reconcile(_table(spark, sf_dir, "orders"), target, ORDERS_KEY).report()
+    source = _table(spark, sf_dir, "orders")
+    return reconcile(source, _derived(source, "orders", ORDERS_TARGET), ORDERS_KEY).report()
 
 
 def recon_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,8 +144,8 @@ def recon_oracle_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recon_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = _derived(spark, sf_dir, "events", EVENTS_TARGET)
     source = _table(spark, sf_dir, "events")
+    target = _derived(source, "events", EVENTS_TARGET)
     return reconcile(
         source, target, EVENTS_KEY, EVENTS_COMPARE, unique_check="keys_first"
     ).report()
@@ -208,7 +206,7 @@ def csv_recon(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     as_text = orders.selectExpr(*[f"CAST({name} AS STRING) AS {name}" for name in orders.columns])
     source = read_csv_strict(spark, _written_csv(as_text, scratch_path(spark, "csv")), trim=False)
-    target = _derived(spark, sf_dir, "orders", ORDERS_TARGET)
+    target = _derived(orders, "orders", ORDERS_TARGET)
     return reconcile(source, target, ORDERS_KEY, ORDERS_COMPARE).report()
 
 

@@ -43,51 +43,63 @@ def text_sql(value: str, data_type: T.DataType, decimals: str = "plain") -> str:
 
 def _nullable_text(value: str, data_type: T.DataType, decimals: str) -> str:
     if isinstance(data_type, (T.StringType, T.CharType, T.VarcharType)):
-        # plain TRIM knows only U+0020; the cast drops any collation
-        return f"trim(BOTH '{WHITE_SPACE}' FROM CAST({value} AS STRING))"
+        return _stripped(f"CAST({value} AS STRING)")  # the cast drops any collation
     if isinstance(data_type, (T.IntegralType, T.DateType, T.NullType)):
         return f"CAST({value} AS STRING)"
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return _floating_text(value)
+    if isinstance(data_type, T.DoubleType):
+        return _double_text(value)
+    if isinstance(data_type, T.FloatType):
+        # by way of text, so that 0.1 does not become 0.10000000149011612
+        return _double_text(f"CAST(CAST({value} AS STRING) AS DOUBLE)")
     if isinstance(data_type, T.DecimalType):
         plain = f"CAST({value} AS STRING)"
         if decimals == "plain" or data_type.scale == 0:
             return plain
         if decimals == "float":
-            return _floating_text(f"CAST({value} AS DOUBLE)")
+            return _double_text(f"CAST({value} AS DOUBLE)")
         return f"rtrim('.', rtrim('0', {plain}))"
     if isinstance(data_type, T.BooleanType):
         return f"CASE {value} WHEN true THEN 'True' WHEN false THEN 'False' END"
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        seconds = "yyyy-MM-dd HH:mm:ss"
-        return (
-            f"CASE WHEN extract(SECOND FROM {value}) % 1 <> 0"
-            f" THEN date_format({value}, '{seconds}.SSSSSS')"
-            f" ELSE date_format({value}, '{seconds}') END"
-        )
+        # the cast cuts a fraction's trailing zeros; whole is 26 characters long
+        time = f"CAST({value} AS STRING)"
+        return f"CASE WHEN contains({time}, '.') THEN rpad({time}, 26, '0') ELSE {time} END"
     raise TypeError(f"cannot compare values of type {data_type.simpleString()}")
 
 
-def _floating_text(value: str) -> str:
+def _stripped(text: str) -> str:
+    """Trim all Unicode white space; plain TRIM knows only U+0020.
+
+    Texts that start and end with visible ASCII skip the slower search.
+    """
+    visible = " AND ".join(
+        f"substr({text}, {position}, 1) > ' ' AND substr({text}, {position}, 1) <= '~'"
+        for position in (1, -1)
+    )
+    return f"CASE WHEN {visible} THEN {text} ELSE trim(BOTH '{WHITE_SPACE}' FROM {text}) END"
+
+
+def _double_text(value: str) -> str:
     """Python's ``repr`` of a float, from the JVM's text of the same number.
 
     The JVM writes ``1.2345678E7`` outside [1e-3, 1e7); Python goes on in plain
     digits down to 1e-4 and up to 1e16 and writes exponents as ``e-05`` / ``e+16``.
     """
     jvm = f"CAST({value} AS STRING)"
-    # 17 digits before the point and 21 after it hold every number between
-    # 1e-4 and 1e16 exactly as the JVM printed it.
-    unpadded = f"rtrim('0', CAST(CAST({jvm} AS DECIMAL(38, 21)) AS STRING))"
+    size = f"abs({value})"
+    # The cast goes through the JVM's text, and 17 digits before the point and 21
+    # after it hold every number between 1e-4 and 1e16 as printed there.
+    unpadded = f"rtrim('0', CAST(CAST({value} AS DECIMAL(38, 21)) AS STRING))"
     plain = f"regexp_replace({unpadded}, '[.]$', '.0')"
     mantissa = f"regexp_replace(substring_index({jvm}, 'E', 1), '[.]0$', '')"
     exponent = f"CAST(substring_index({jvm}, 'E', -1) AS INT)"
     # %+03d is a sign and at least two digits
     scientific = f"concat({mantissa}, format_string('e%+03d', {exponent}))"
     return (
-        f"CASE WHEN isnan({value}) THEN 'nan'"
+        f"CASE WHEN {size} >= 1e-3 AND {size} < 1e7 OR {value} = 0 THEN {jvm}"
+        f" WHEN {size} >= 1e-4 AND {size} < 1e16 THEN {plain}"
+        f" WHEN isnan({value}) THEN 'nan'"
         f" WHEN {value} = double('infinity') THEN 'inf'"
         f" WHEN {value} = double('-infinity') THEN '-inf'"
-        f" WHEN NOT contains({jvm}, 'E') THEN {jvm}"
-        f" WHEN abs({value}) >= 1e-4 AND abs({value}) < 1e16 THEN {plain}"
         f" ELSE {scientific} END"
     )

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.names import column
+from evenkeel.functions.names import quoted
 from evenkeel.functions.text import text_sql
 from evenkeel.operators.validate import canonical_keys, guard_counted, guard_first, key_names
 
@@ -93,19 +93,22 @@ def keyed(
     Compare columns the table lacks are left out; see ``pair_cells``.
     """
     cells = {
-        cell_name(prefix, i): column(name) for i, name in enumerate(compare) if name in df.columns
+        cell_name(prefix, i): quoted(name) for i, name in enumerate(compare) if name in df.columns
     }
-    rows = df.select(
+    rows = df.selectExpr(
         *canonical_keys(df, keys, decimals),
-        F.lit(1).alias(count_name(prefix)),
-        *[cell.alias(name) for name, cell in cells.items()],
+        f"1 AS {count_name(prefix)}",
+        *[f"{cell} AS {name}" for name, cell in cells.items()],
     )
-    if unique_check == "keys_first":
-        return guard_first(rows, len(keys), side)
-    grouped = rows.groupBy(*key_names(keys)).agg(
-        F.count("*").alias(count_name(prefix)), *[F.first(name).alias(name) for name in cells]
+    names = key_names(keys)
+    if unique_check == "keys_first" and cells:
+        return guard_first(rows, names, side)
+    # Keys alone are counted in a plain hash aggregate, which no check beats.
+    grouped = rows.groupBy(*names).agg(
+        F.count("*").alias(count_name(prefix)),
+        *[F.expr(f"first({name}) AS {name}") for name in cells],
     )
-    return guard_counted(grouped, len(keys), count_name(prefix), side)
+    return guard_counted(grouped, names, count_name(prefix), side)
 
 
 def pair_cells(

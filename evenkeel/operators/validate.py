@@ -7,10 +7,11 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.text import canonical_text
+from evenkeel.functions.names import quoted
+from evenkeel.functions.text import text_sql
 
 
 DUPLICATE_MESSAGE = "Duplicate key found in"
@@ -43,10 +44,11 @@ def key_names(keys: Sequence[str]) -> list[str]:
     return [f"key_{position}" for position in range(1, len(keys) + 1)]
 
 
-def canonical_keys(df: DataFrame, keys: Sequence[str], decimals: str = "plain") -> list[Column]:
-    """Key columns as canonical text under their report names."""
+def canonical_keys(df: DataFrame, keys: Sequence[str], decimals: str = "plain") -> list[str]:
+    """SQL of the key columns as canonical text under their report names."""
+    schema = df.schema
     return [
-        canonical_text(name, df.schema[name].dataType, decimals).alias(alias)
+        f"{text_sql(quoted(name), schema[name].dataType, decimals)} AS {alias}"
         for name, alias in zip(keys, key_names(keys), strict=True)
     ]
 
@@ -58,7 +60,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], decimals: str = "plain")
     task before the shuffle.
     """
     check_columns(df, keys, None, "table")
-    counted = df.select(*canonical_keys(df, keys, decimals)).groupBy(*key_names(keys))
+    counted = df.selectExpr(*canonical_keys(df, keys, decimals)).groupBy(*key_names(keys))
     return counted.agg(F.count("*").alias("n")).where("n > 1")
 
 
@@ -70,38 +72,32 @@ def assert_unique(df: DataFrame, keys: Sequence[str], side: str, decimals: str =
         raise DuplicateKeyError(f"{DUPLICATE_MESSAGE} {side}: ({key})")
 
 
-def shown_key(n_keys: int) -> Column:
-    """Key text for messages: ``(k1, k2)``."""
-    parts = [F.col(f"key_{i}") for i in range(1, n_keys + 1)]
-    return F.concat(F.lit("("), F.concat_ws(", ", *parts), F.lit(")"))
-
-
-def guard_counted(counted: DataFrame, n_keys: int, count_name: str, side: str) -> DataFrame:
+def guard_counted(counted: DataFrame, keys: Sequence[str], count: str, side: str) -> DataFrame:
     """Fail the running query if a counted key has more than one row.
 
     The guard is a filter above an aggregate that the plan has anyway, so it
     costs no further pass over the data.
     """
-    repeated = F.when(F.col(count_name) > 1, shown_key(n_keys))
-    return counted.where(_fail_if_any(repeated, side))
+    failure = f"raise_error(concat('{DUPLICATE_MESSAGE} {side}: ', {_shown(keys)}))"
+    return counted.where(f"CASE WHEN {count} > 1 THEN CAST({failure} AS BOOLEAN) ELSE true END")
 
 
-def guard_first(rows: DataFrame, n_keys: int, side: str) -> DataFrame:
+def guard_first(rows: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
     """Fail before ``rows`` move if a key of theirs repeats.
 
     The check is a scalar subquery over the key columns alone, so a columnar
     source is read a second time only in those columns.
     """
-    names = [f"key_{i}" for i in range(1, n_keys + 1)]
-    counted = rows.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1")
-    repeated = counted.agg(F.min(shown_key(n_keys)).alias("key")).scalar()
-    return rows.where(_fail_if_any(repeated, side))
-
-
-def _fail_if_any(repeated: Column, side: str) -> Column:
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = counted.agg(F.expr(f"min({_shown(keys)})")).scalar()
     message = F.concat(F.lit(f"{DUPLICATE_MESSAGE} {side}: "), repeated)
     failure = F.raise_error(message).cast("boolean")
-    return F.when(repeated.isNotNull(), failure).otherwise(F.lit(True))
+    return rows.where(F.when(repeated.isNotNull(), failure).otherwise(F.lit(True)))
+
+
+def _shown(keys: Sequence[str]) -> str:
+    """SQL of a key's text for messages: ``(k1, k2)``."""
+    return f"concat('(', concat_ws(', ', {', '.join(keys)}), ')')"
 
 
 @contextmanager

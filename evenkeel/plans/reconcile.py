@@ -91,12 +91,12 @@ class Reconciliation:
 
     def missing(self) -> DataFrame:
         """Keys of the source that the target lacks."""
-        source, target = self._sides([], "inline")
+        source, target = self._sides([])
         return source.join(target, self._key_names, "left_anti").select(*self._key_names)
 
     def extra(self) -> DataFrame:
         """Keys of the target that the source lacks."""
-        source, target = self._sides([], "inline")
+        source, target = self._sides([])
         return target.join(source, self._key_names, "left_anti").select(*self._key_names)
 
     def mismatches(self) -> DataFrame:
@@ -126,25 +126,17 @@ class Reconciliation:
                 write_report_csv(lines, path, mode)
         return observed.get
 
-    def _sides(self, compare: list[str], unique_check: str) -> tuple[DataFrame, DataFrame]:
-        # Without cells the inline count is a plain hash aggregate of the keys.
-        return (
-            cmp.keyed(
-                self._source, self.keys, compare, cmp.SOURCE, "source", self._decimals, unique_check
-            ),
-            cmp.keyed(
-                self._target,
-                self.keys,
-                compare,
-                cmp.TARGET,
-                self._target_label,
-                self._decimals,
-                unique_check,
-            ),
-        )
+    def _sides(self, compare: list[str]) -> list[DataFrame]:
+        return [
+            cmp.keyed(df, self.keys, compare, prefix, side, self._decimals, self._unique_check)
+            for df, prefix, side in (
+                (self._source, cmp.SOURCE, "source"),
+                (self._target, cmp.TARGET, self._target_label),
+            )
+        ]
 
     def _joined(self, how: str) -> DataFrame:
-        source, target = self._sides(self.compare, self._unique_check)
+        source, target = self._sides(self.compare)
         return source.join(target, self._key_names, how)
 
     def _lines(self, joined: DataFrame) -> DataFrame:

@@ -53,6 +53,11 @@ def test_doubles_print_like_python(spark):
     assert texts(spark, values, T.DoubleType()) == [python_text(v) for v in values]
 
 
+def test_floats_keep_their_short_text(spark):
+    values = [None, 0.1, 1.5, 16777216.0, 1e-5]
+    assert texts(spark, values, T.FloatType()) == ["", "0.1", "1.5", "16777216.0", "1e-05"]
+
+
 def test_any_bit_pattern_names_the_same_double(spark):
     # Up to Java 18 the JVM may print a digit too many outside 1e-4 .. 1e16.
     rng = random.Random(8)
