@@ -32,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     flags.add_argument("--key-columns", required=True, help="comma-separated keys on both sides")
     flags.add_argument("--compare-columns", help="comma-separated; all non-key source columns if blank")
     flags.add_argument("--report-file", default="reconciliation_report", help="report folder")
+    flags.add_argument("--overwrite", action="store_true", help="replace an existing report folder")
     flags.add_argument("--where", help="condition on target rows: SQLite's SQL there, else Spark SQL")
     flags.add_argument("--debug", action="store_true", help="print the physical plan")
 
@@ -62,7 +63,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     result = plan(spark, args)
     if args.debug:
         result.report().explain("formatted")
-    summary = result.write(args.report_file)
+    summary = result.write(args.report_file, mode="overwrite" if args.overwrite else "errorifexists")
     print("Reconciliation complete.")
     for name, count in summary.items():
         print(f"{name}: {count}")

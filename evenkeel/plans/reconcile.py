@@ -14,7 +14,13 @@ from evenkeel.operators.report import (
     report_order,
     summary_columns,
 )
-from evenkeel.operators.validate import check_columns, duplicate_keys_raised, key_names
+from evenkeel.operators.validate import (
+    DuplicateKeyError,
+    assert_unique,
+    check_columns,
+    duplicate_keys_raised,
+    key_names,
+)
 from evenkeel.session import scratch_path
 from evenkeel.sinks.report import write_report_csv
 
@@ -116,16 +122,23 @@ class Reconciliation:
             observed, *summary_columns(self._cells, self.labels)
         )
         lines = self._lines(joined)
-        with duplicate_keys_raised():
-            if ordered:
-                spark = lines.sparkSession
-                staged = scratch_path(spark, "report")
-                lines.write.parquet(staged)
-                write_report_csv(self._sorted(spark.read.parquet(staged)), path, mode)
-            else:
-                write_report_csv(lines, path, mode)
+        try:
+            with duplicate_keys_raised():
+                self._write_lines(lines, path, ordered, mode)
+        except DuplicateKeyError:
+            # Both sides may have repeated keys; the source's are named first.
+            assert_unique(self._source, self.keys, "source", self._decimals)
+            raise
         return observed.get
 
+    def _write_lines(self, lines: DataFrame, path: str, ordered: bool, mode: str) -> None:
+        if ordered:
+            spark = lines.sparkSession
+            staged = scratch_path(spark, "report")
+            lines.write.parquet(staged)
+            lines = self._sorted(spark.read.parquet(staged))
+        write_report_csv(lines, path, mode)
+
     def _sides(self, compare: list[str]) -> list[DataFrame]:
         return [
             cmp.keyed(df, self.keys, compare, prefix, side, self._decimals, self._unique_check)

@@ -38,7 +38,7 @@ def run(spark, files, *flags):
     out = files / uuid.uuid4().hex
     common = ["--source-file", str(files / "source.csv"), "--delimiter", ";", "--key-columns", "id"]
     summary = reconcile.main([*common, "--report-file", str(out), *flags], spark)
-    return summary, report(out)
+    return summary, report(out) if out.exists() else None
 
 
 def test_sqlite_job(spark, files, capsys):
@@ -54,6 +54,11 @@ def test_sqlite_job(spark, files, capsys):
     printed = capsys.readouterr().out
     assert "value_mismatches: 1" in printed and "Physical Plan" in printed
     assert run(spark, files, *target, "--compare-columns", "note")[0]["value_mismatches"] == 0
+    out = ["--report-file", str(files / "again")]
+    run(spark, files, *target, *out)
+    with pytest.raises(Exception, match="(?i)already.exists"):
+        run(spark, files, *target, *out)
+    assert run(spark, files, *target, *out, "--overwrite")[0]["value_mismatches"] == 1
     assert run(spark, files, *target, "--compare-columns", "")[0]["value_mismatches"] == 1
     assert run(spark, files, *target, "--where", "own = 1")[0]["extra_in_target"] == 0
     with pytest.raises(ValueError, match="lacks compare"):
