@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.names import quoted
-from evenkeel.functions.text import text_sql
+from evenkeel.functions.names import literal, quoted
+from evenkeel.functions.text import quick_text, text_sql
 from evenkeel.operators.validate import canonical_keys, guard_counted, guard_first, key_names
 
 SOURCE = "s"
@@ -40,35 +40,33 @@ class Cell:
     raw: str
     data_type: T.DataType
     text: str
+    quick_text: str
+    quick_text_holds: str
 
 
 @dataclass(frozen=True)
 class CellPair:
-    """Both sides of one compare column."""
+    """Both sides of one compare column, for a key that both sides have."""
 
     name: str
     source: Cell
     target: Cell
 
-    def differs(self) -> str:
-        """SQL test of unequal texts for a key that both sides have."""
-        texts_differ = f"{self.source.text} <> {self.target.text}"
-        equal = self._plainly_equal()
-        return f"CASE WHEN {equal} THEN false ELSE {texts_differ} END" if equal else texts_differ
-
-    def _plainly_equal(self) -> str | None:
-        """Cheap SQL test that implies equal texts, where the types allow one."""
-        if self.source.data_type != self.target.data_type:
-            return None
-        left, right = self.source.raw, self.target.raw
-        if isinstance(self.source.data_type, (T.DoubleType, T.FloatType)):
+    def may_differ(self) -> str:
+        """SQL test that is true wherever the texts differ, and cheap where not."""
+        left, right = self.source, self.target
+        same_type = left.data_type == right.data_type
+        if same_type and isinstance(left.data_type, T.DoubleType):
             # 0.0 equals -0.0 but prints differently
-            return f"{left} = {right} AND {left} <> 0"
-        if self.source.data_type == T.StringType():
-            return f"{left} <=> {right}"
-        if isinstance(self.source.data_type, T.StringType):
-            return None  # a collation may call different texts equal
-        return f"{left} <=> {right}"
+            as_printed = f"CAST({left.raw} AS STRING) = CAST({right.raw} AS STRING)"
+            equal = f"{left.raw} = {right.raw} AND ({left.raw} <> 0 OR {as_printed})"
+            return f"NOT coalesce({equal}, {left.raw} IS NULL AND {right.raw} IS NULL)"
+        # A collation may call different strings equal.
+        collated = isinstance(left.data_type, T.StringType) and left.data_type != T.StringType()
+        if same_type and not collated and not isinstance(left.data_type, T.FloatType):
+            return f"NOT ({left.raw} <=> {right.raw})"
+        holds = f"{left.quick_text_holds} AND {right.quick_text_holds}"
+        return f"NOT ({left.quick_text} = {right.quick_text} AND {holds})"
 
 
 def cell_name(prefix: str, position: int) -> str:
@@ -103,12 +101,19 @@ def keyed(
     names = key_names(keys)
     if unique_check == "keys_first" and cells:
         return guard_first(rows, names, side)
-    # Keys alone are counted in a plain hash aggregate, which no check beats.
-    grouped = rows.groupBy(*names).agg(
-        F.count("*").alias(count_name(prefix)),
-        *[F.expr(f"first({name}) AS {name}") for name in cells],
+    mark = count_name(prefix)
+    if not cells:
+        # Keys alone are counted in a hash aggregate, which no other check beats.
+        return guard_counted(rows.groupBy(*names).agg(F.count("*").alias(mark)), names, mark, side)
+    # One struct is cheaper to carry through the sort-based aggregate than many columns.
+    grouped = (
+        rows.selectExpr(*names, f"struct({', '.join(cells)}) AS cells")
+        .groupBy(*names)
+        .agg(F.count("*").alias(mark), F.first("cells").alias("cells"))
+    )
+    return guard_counted(grouped, names, mark, side).selectExpr(
+        *names, mark, *[f"cells.{name} AS {name}" for name in cells]
     )
-    return guard_counted(grouped, names, count_name(prefix), side)
 
 
 def pair_cells(
@@ -123,10 +128,11 @@ def pair_cells(
 
 def _cell(df: DataFrame, name: str, prefix: str, position: int, decimals: str) -> Cell:
     if name not in df.columns:
-        return Cell("''", T.NullType(), "''")
+        return Cell("''", T.NullType(), "''", "''", "true")
     data_type = df.schema[name].dataType
     raw = cell_name(prefix, position)
-    return Cell(raw, data_type, text_sql(raw, data_type, decimals))
+    text = text_sql(raw, data_type, decimals)
+    return Cell(raw, data_type, text, *quick_text(raw, data_type, decimals))
 
 
 # SQL tests of a full outer join's rows
@@ -135,6 +141,28 @@ IN_TARGET = f"{count_name(TARGET)} IS NOT NULL"
 IN_BOTH = f"{IN_SOURCE} AND {IN_TARGET}"
 
 
+def may_differ(cells: Sequence[CellPair]) -> str:
+    """SQL test that is true wherever some compare column differs.
+
+    It is kept small on purpose: the JVM leaves methods of more than 8,000 bytes
+    of code uncompiled, and the exact texts of a few columns take that much.
+    """
+    return " OR ".join(pair.may_differ() for pair in cells) or "false"
+
+
+def changed_cells(cells: Sequence[CellPair]) -> str:
+    """SQL array of (column_name, source_value, target_value) that differ.
+
+    For rows that may differ; it prints every cell.
+    """
+    lines = ", ".join(
+        f"named_struct('column_name', {literal(pair.name)},"
+        f" 'source_value', {pair.source.text}, 'target_value', {pair.target.text})"
+        for pair in cells
+    )
+    return f"filter(array({lines}), cell -> cell.source_value <> cell.target_value)"
+
+
 def any_cell_differs(cells: Sequence[CellPair]) -> str:
     """SQL test: some compare column differs, for a key that both sides have."""
-    return " OR ".join(pair.differs() for pair in cells) or "false"
+    return f"({may_differ(cells)}) AND size({changed_cells(cells)}) > 0" if cells else "false"

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.names import literal
 from evenkeel.operators.compare import (
     IN_BOTH,
     IN_SOURCE,
@@ -16,7 +15,9 @@ from evenkeel.operators.compare import (
     TARGET,
     CellPair,
     any_cell_differs,
+    changed_cells,
     count_name,
+    may_differ,
 )
 
 # Fixed value: the report line for a cell that differs.
@@ -42,9 +43,7 @@ def difference_lines(
     joined: DataFrame, keys: Sequence[str], cells: Sequence[CellPair], labels: Labels
 ) -> DataFrame:
     """Report lines of a joined table: one per one-sided key, one per differing cell."""
-    different = joined.where(
-        f"NOT ({IN_SOURCE}) OR NOT ({IN_TARGET}) OR {any_cell_differs(cells)}"
-    )
+    suspect = joined.where(f"NOT ({IN_SOURCE}) OR NOT ({IN_TARGET}) OR {may_differ(cells)}")
     kind = (
         f"CASE WHEN NOT ({IN_TARGET}) THEN '{labels.missing_type}'"
         f" WHEN NOT ({IN_SOURCE}) THEN '{labels.extra_type}'"
@@ -52,23 +51,16 @@ def difference_lines(
     )
     if not cells:
         blank = "CAST(NULL AS STRING) AS"
-        return different.selectExpr(
+        return suspect.selectExpr(
             kind,
             *keys,
             f"{blank} column_name",
             f"{blank} source_value",
             f"{blank} {labels.target_value}",
         )
-    # Only rows known to differ get here, so all their texts may be printed.
-    lines = ", ".join(
-        f"named_struct('column_name', {literal(pair.name)},"
-        f" 'source_value', {pair.source.text}, 'target_value', {pair.target.text})"
-        for pair in cells
-    )
-    changed = f"filter(array({lines}), cell -> cell.source_value <> cell.target_value)"
-    return different.selectExpr(
-        kind, *keys, f"explode_outer(CASE WHEN {IN_BOTH} THEN {changed} END) AS cell"
-    ).selectExpr(
+    # A one-sided key gives one line without a cell, a false alarm gives none.
+    lines = f"CASE WHEN {IN_BOTH} THEN {changed_cells(cells)} ELSE array(NULL) END"
+    return suspect.selectExpr(kind, *keys, f"explode({lines}) AS cell").selectExpr(
         "reconciliation_type",
         *keys,
         "cell.column_name AS column_name",
