@@ -64,12 +64,18 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], decimals: str = "plain")
     return counted.agg(F.count("*").alias("n")).where("n > 1")
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str], side: str, decimals: str = "plain") -> None:
-    """Run one job that raises DuplicateKeyError if any key repeats."""
-    first = duplicate_keys(df, keys, decimals).head(1)
-    if first:
-        key = ", ".join(first[0][name] for name in key_names(keys))
-        raise DuplicateKeyError(f"{DUPLICATE_MESSAGE} {side}: ({key})")
+def assert_unique(df: DataFrame, keys: Sequence[str], side: str, decimals: str = "plain") -> int:
+    """Run one job that raises DuplicateKeyError if any key repeats; returns the row count."""
+    names = key_names(keys)
+    counted = df.selectExpr(*canonical_keys(df, keys, decimals)).groupBy(*names).agg(
+        F.count("*").alias("n")
+    )
+    rows, repeated = counted.selectExpr(
+        "coalesce(sum(n), 0)", f"min(CASE WHEN n > 1 THEN {_shown(names)} END)"
+    ).first()
+    if repeated is not None:
+        raise DuplicateKeyError(f"{DUPLICATE_MESSAGE} {side}: {repeated}")
+    return rows
 
 
 def guard_counted(counted: DataFrame, keys: Sequence[str], count: str, side: str) -> DataFrame:

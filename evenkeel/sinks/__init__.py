@@ -1,11 +1,12 @@
 """Writers: report CSV, warehouse tables, database tables, per-file output."""
 
 from evenkeel.sinks.files import write_converted, write_per_file
-from evenkeel.sinks.jdbc import load_target
+from evenkeel.sinks.jdbc import LoadError, load_target
 from evenkeel.sinks.report import read_report_csv, write_report_csv
 from evenkeel.sinks.warehouse import append_to_table, create_database
 
 __all__ = [
+    "LoadError",
     "append_to_table",
     "create_database",
     "load_target",

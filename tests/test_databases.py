@@ -6,10 +6,11 @@ from decimal import Decimal
 
 import pytest
 from py4j.protocol import Py4JError
+from pyspark.sql import DataFrameWriter
 
 from evenkeel.operators import DuplicateKeyError
 from evenkeel.plans import reconcile
-from evenkeel.sinks import load_target
+from evenkeel.sinks import LoadError, load_target
 from evenkeel.sources import jdbc_table, sqlite_table
 
 VALUES = [
@@ -161,6 +162,21 @@ def test_jdbc_load_refuses_repeated_keys_first(spark, url):
     assert jdbc_table(spark, url, name).count() == 3
 
 
+def test_jdbc_load_notices_rows_inserted_twice(spark, url, monkeypatch):
+    name = make_table(spark, url)
+    write = DataFrameWriter.jdbc
+
+    def write_again(self, *args, **options):
+        write(self, *args, **options)
+        write(self, *args, **{**options, "mode": "append"})
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", write_again)
+    with pytest.raises(LoadError, match="6 rows after the load, not 3"):
+        load_target(source_rows(spark), url, name, "ID")
+    with pytest.raises(LoadError, match="6 rows after the load, not 3"):
+        load_target(source_rows(spark), url, name, "ID", truncate=True)
+
+
 def test_jdbc_reads_in_parallel_and_pushes_down(spark, url):
     spark.range(1000).selectExpr("CAST(id AS INT) AS id", "id % 7 AS v", "id AS w").write.jdbc(url, "many")
     df = jdbc_table(spark, url, "many", ["ID", "V"], "v = 3", "id", partitions=4)
