@@ -36,7 +36,8 @@ def read_csv_strict(
 
     ``multi_line=True`` allows line breaks in quoted cells but makes one task per
     file. The default finds out whether any file needs it: files of up to one
-    split cost nothing, larger ones are searched once for an unbalanced quote.
+    split cost nothing, larger ones are searched once for an unbalanced quote or a
+    line of white space, which only the multi-line reader takes for a row.
     """
     if multi_line is None:
         multi_line = needs_multi_line(spark, path)
@@ -178,8 +179,10 @@ def needs_multi_line(spark: SparkSession, path: str | list[str]) -> bool:
         return True
     lines = spark.read.text(path)
     unquoted = F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    odd_quotes = (F.length("value") - unquoted) % 2 == 1
-    return bool(lines.where(F.contains(F.col("value"), F.lit('"')) & odd_quotes).head(1))
+    odd_quotes = F.contains(F.col("value"), F.lit('"')) & ((F.length("value") - unquoted) % 2 == 1)
+    # The line reader skips lines of white space, which are rows to Python.
+    white_line = F.col("value").rlike(r"^[\x00-\x20]+$")
+    return bool(lines.where(odd_quotes | white_line).head(1))
 
 
 def _size_in_bytes(setting: str) -> int:

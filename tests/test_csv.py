@@ -56,6 +56,7 @@ SAME_AS_PYTHON = {
     "dots and backticks in names": "id,v.w,x`y\n1,a,b\n",
     "one column": "id\n1\n2\n",
     "header only": "id,v\n",
+    "a line of white space": "id\n1\n  \n2\n",
 }
 
 
@@ -134,6 +135,7 @@ def test_large_files_are_split_unless_cells_break_lines(spark, put):
     try:
         assert not needs_multi_line(spark, plain)
         assert needs_multi_line(spark, broken)
+        assert needs_multi_line(spark, put("id\n" + "123456\n" * 2000 + " \t\n", "white.csv"))
         df = read_csv_strict(spark, plain)
         assert df.rdd.getNumPartitions() > 1
         assert df.distinct().count() == 3000
