@@ -405,7 +405,7 @@ def _sql_report(pair: str, n_keys: int, names: list[str], label: str = "target")
 ORDER_KEY_TEXT = [_sql_text("o_orderkey")]
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     orders = _sql_pair("orders", ORDERS_TARGET, ORDER_KEY_TEXT, ORDERS_TEXT)
     filtered = f"SELECT * FROM ({ORDERS_TARGET}) t WHERE o_orderstatus = 'F'"
     events_key = [_sql_text("user_id"), _sql_time("ts")]
@@ -501,7 +501,7 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
         for query in (
@@ -536,5 +536,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# ---------------------------------------------------------------------------
+# The training-data operators, where their subpackage and pipeline are present
+# ---------------------------------------------------------------------------
+
+
+def _training_data() -> tuple[dict, dict]:
+    try:
+        import corpus_pipeline
+        from evenkeel.llm import registry
+    except ModuleNotFoundError as error:
+        if (error.name or "").startswith(("corpus_pipeline", "evenkeel.llm")):
+            return {}, {}
+        raise
+    found = {**registry.QUERIES, "pipeline": corpus_pipeline.run}
+    sql = {**registry.ORACLE_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return found, {name: text for name, text in sql.items() if text}
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**core_queries(), **_training_data()[0]}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**core_oracle_sql(), **_training_data()[1]}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return recon_report(spark, "/root/testdata/sf0.001")

