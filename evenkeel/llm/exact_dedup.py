@@ -84,13 +84,9 @@ def exact_dedup(
     keys = stored(rows.groupBy("key").agg(F.count("*").alias("n")), "keys")
     buckets, depth = build_directory(keys, page_keys)
     # Every slot of the directory points to its bucket, which may have several.
-    width = F.lit(depth) - F.col("depth")
-    first = F.shiftleft(F.col("prefix"), width.cast("int")) if depth else F.col("prefix")
-    slots = buckets.select(
-        F.explode(
-            F.sequence(first, first + F.expr(f"shiftleft(1L, {depth} - depth)") - 1)
-        ).alias("slot"),
-        first.alias("bucket"),
+    first, width = f"shiftleft(prefix, {depth} - depth)", f"shiftleft(1L, {depth} - depth)"
+    slots = buckets.selectExpr(
+        f"explode(sequence({first}, {first} + {width} - 1)) AS slot", f"{first} AS bucket"
     )
     repeated = (
         keys.where("n > 1")

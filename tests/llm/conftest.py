@@ -1,0 +1,6 @@
+import os
+from pathlib import Path
+
+REPO = Path(__file__).resolve().parents[2]
+# Python workers of the session import the operators, too.
+os.environ["PYTHONPATH"] = f"{REPO}:{os.environ.get('PYTHONPATH', '')}"
