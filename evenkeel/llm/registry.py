@@ -1,9 +1,10 @@
 """The queries of this subpackage and their SQL."""
 
-from evenkeel.llm import q_exact_dedup, q_packing, q_records
+from evenkeel.llm import q_exact_dedup, q_packing, q_records, q_secrets
 
 QUERIES = {
     "op3_token_records": q_records.op3_token_records,
+    "op4_secrets": q_secrets.op4_secrets,
     "op8_packing": q_packing.op8_packing,
     "op9_exact_dedup": q_exact_dedup.op9_exact_dedup,
 }
