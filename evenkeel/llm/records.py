@@ -4,12 +4,13 @@ A dataset is a folder of shards. Shard ``part-00007.rec`` holds framed records::
 
     length of the payload   8 bytes, little-endian
     masked crc32 of these   4 bytes
-    payload                 doc_id (8 bytes, signed), then the ids, 4 bytes each
+    payload                 doc_id (8 bytes, signed), bytes per id (1), then the ids
     masked crc32 of it      4 bytes
 
 and ``part-00007.idx`` its index, 24 bytes per record: doc_id, byte offset, ids in the
 shard before it. A masked checksum is the crc32 turned right by 15 bits plus a constant,
-so that a checksum stored in a payload does not look like its own. ``manifest`` is a
+so that a checksum stored in a payload does not look like its own. Ids take 2 bytes each
+where the whole vocabulary fits that, else 4. ``manifest`` is a
 Parquet table of the shards, written last: a folder without it is not a dataset.
 
 Documents stand in ascending doc_id order, shard after shard. A task writes under a name
@@ -39,6 +40,7 @@ MASK_DELTA = 0xA282EAD8  # Fixed value: the constant that masking adds.
 HEAD = struct.Struct("<QI")
 TAIL = struct.Struct("<I")
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("start", "<u8")])
+LEAD = struct.Struct("<qB")  # doc_id, bytes per id
 NO_ID = -(1 << 63)  # how a NULL doc_id is written
 
 
@@ -107,6 +109,7 @@ def write_records(
         store.create_dir(base, recursive=True)
         name, attempt = f"{base}/part-{shard:05}", f"{base}/attempt-{uuid.uuid4().hex}"
         encode = encoder(vocabulary)
+        width = 2 if encode.tokenizer.get_vocab_size() <= 1 << 16 else 4
         records = tokens = offset = 0
         with (
             store.open_output_stream(f"{attempt}.rec") as data,
@@ -117,7 +120,7 @@ def write_records(
                 for doc_id, text in zip(ids, texts_of(batch.column("text")), strict=True):
                     doc_id = NO_ID if doc_id is None else doc_id
                     encoded = encode.ids(text)
-                    framed = frame(struct.pack("<q", doc_id) + encoded.tobytes())
+                    framed = frame(LEAD.pack(doc_id, width) + encoded.astype(f"<u{width}").tobytes())
                     data.write(framed)
                     index.write(np.array([(doc_id, offset, tokens)], INDEX).tobytes())
                     offset += len(framed)
@@ -187,9 +190,11 @@ def _read_shard(store, name, index, shard, first, in_order) -> Iterator[pa.Recor
             if not in_order:
                 source.seek(offset)
             payload = read_frame(stream, f"{name}.rec at {offset}")
-            if payload is None or struct.unpack_from("<q", payload)[0] != doc_id:
+            told, width = LEAD.unpack_from(payload) if payload else (None, 0)
+            if told != doc_id:
                 raise ValueError(f"{name}: index and records disagree at byte {offset}")
-            row = (None if doc_id == NO_ID else doc_id, shard, first + start, payload[8:])
+            ids = np.frombuffer(payload, f"<u{width}", offset=LEAD.size).astype("<u4").tobytes()
+            row = (None if doc_id == NO_ID else doc_id, shard, first + start, ids)
             for field, value in zip(READ.names, row, strict=True):
                 rows[field].append(value)
             size += len(payload)
