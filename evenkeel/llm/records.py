@@ -54,6 +54,10 @@ def frame(payload: bytes) -> bytes:
     return b"".join((length, TAIL.pack(masked(length)), payload, TAIL.pack(masked(payload))))
 
 
+def record(doc_id: int, ids: np.ndarray, width: int) -> bytes:
+    return frame(LEAD.pack(doc_id, width) + ids.astype(f"<u{width}").tobytes())
+
+
 def read_frame(stream, where: str = "") -> bytes | None:
     """Next payload of ``stream``; None at its end; an error if a byte is wrong."""
     head = stream.read(HEAD.size)
@@ -120,7 +124,7 @@ def write_records(
                 for doc_id, text in zip(ids, texts_of(batch.column("text")), strict=True):
                     doc_id = NO_ID if doc_id is None else doc_id
                     encoded = encode.ids(text)
-                    framed = frame(LEAD.pack(doc_id, width) + encoded.astype(f"<u{width}").tobytes())
+                    framed = record(doc_id, encoded, width)
                     data.write(framed)
                     index.write(np.array([(doc_id, offset, tokens)], INDEX).tobytes())
                     offset += len(framed)
