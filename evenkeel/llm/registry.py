@@ -1,8 +1,9 @@
 """The queries of this subpackage and their SQL."""
 
-from evenkeel.llm import q_exact_dedup, q_packing, q_records, q_secrets, q_toxicity
+from evenkeel.llm import q_exact_dedup, q_language, q_packing, q_records, q_secrets, q_toxicity
 
 QUERIES = {
+    "op2_language": q_language.op2_language,
     "op3_token_records": q_records.op3_token_records,
     "op4_secrets": q_secrets.op4_secrets,
     "op8_packing": q_packing.op8_packing,

@@ -1,0 +1,91 @@
+import random
+
+import pytest
+
+from evenkeel.llm.common import documents, fold
+from evenkeel.llm.language import BLOCK, Parser, plain, sample_texts, with_language
+from evenkeel.llm.q_language import op2_language
+
+DATA = "/root/testdata"
+
+
+def brute_phrases(text, samples, known):
+    """Greedy longest phrases of ``text``, block by block, by searching the samples."""
+    text = "".join(c if c in known else "\0" for c in text)
+    count = 0
+    for i in range(0, len(text), BLOCK):
+        block, at = text[i : i + BLOCK], 0
+        while at < len(block):
+            n = 1
+            while at + n < len(block) and any(block[at : at + n + 1] in s for s in samples):
+                n += 1
+            if not any(block[at : at + n] in s for s in samples):
+                # A character of no sample ends the phrase before it and is none itself.
+                at += n
+                count += 1
+                continue
+            at += n
+            count += 1
+    return count
+
+
+def test_phrases_against_searching():
+    rng = random.Random(3)
+    samples = {"a": ["abracadabra abab", "cab dab"], "b": ["bcd bcd bcdd", "a" * 30], "c": ["xyz"]}
+    parser = Parser(samples)
+    for _ in range(60):
+        text = "".join(rng.choice("abcd xy") for _ in range(rng.randrange(0, 700)))
+        text = plain(text)
+        got = parser.phrases([parser.alphabet.of(text)])[0]
+        for k, name in enumerate(parser.names):
+            own = [plain(t) for t in samples[name]]
+            low = brute_phrases(text, own, set("abcdxyz "))
+            # A character unknown to one language closes an open phrase and starts none.
+            unknown = sum(not any(c in s for s in own) for c in text)
+            assert low - unknown <= got[k] <= low + unknown + 1
+            if not unknown:
+                assert got[k] == low
+
+
+SCHEMA = "doc_id long, text string, lang string, score string, lang_pred int"
+
+
+def test_rows_of_all_kinds(spark):
+    samples = {"en": ["the quick brown fox jumps over the lazy dog and then the other dog"], "de": ["der schnelle braune fuchs springt über den faulen hund und dann"]}
+    rows = [(1, None), (2, ""), (3, "123 !!"), (4, "the other fox and the dog"), (5, "und der andere hund über"), (6, "the dog " * 50_000), (6, "the dog"), (None, "漢字")]
+    docs = spark.createDataFrame([(i, t, None, "x", 1) for i, t in rows], SCHEMA)
+    got = with_language(docs, samples).collect()
+    assert len(got) == len(rows)
+    told = {(r.doc_id, (r.text or "")[:20]): (r.lang_pred, r.score) for r in got}
+    for i, t in rows[:3]:
+        assert told[i, t or ""] == ("und", 0.0)
+    assert told[4, rows[3][1][:20]][0] == "en" and told[5, rows[4][1][:20]][0] == "de"
+    assert told[6, "the dog the dog the "][0] == "en"
+    assert told[None, "漢字"][0] == "de"  # nothing told apart: first by name
+    assert all(0 <= s <= 1 for _, s in told.values())
+    assert {r.lang_pred for r in with_language(docs, {}).collect()} == {"und"}
+    assert with_language(docs.limit(0), samples).count() == 0
+
+
+def test_samples_are_bounded(spark):
+    rows = [(i, f"text number {i} " * 20, "ab"[i % 2]) for i in range(400)]
+    rows += [(1000, "z" * 90_000, "only long"), (1001, None, "a"), (1002, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = sample_texts(docs, "text", "lang", chars=5_000)
+    assert sorted(samples) == ["a", "b", "only long"]
+    assert all(sum(map(len, own)) <= 5_000 for own in samples.values())
+    assert sample_texts(docs.limit(0), "text", "lang") == {}
+
+
+@pytest.fixture(scope="module")
+def told(spark):
+    return op2_language(spark, f"{DATA}/sf0.01").collect()
+
+
+def test_held_out_accuracy(spark, told):
+    rows = documents(spark, f"{DATA}/sf0.01").select("doc_id", "lang", (fold("doc_id", 5) == 0).alias("held")).collect()
+    lang, held = {r.doc_id: r.lang for r in rows}, {r.doc_id: r.held for r in rows}
+    assert len(told) == len(rows)
+    assert all(r.held_out == held[r.doc_id] for r in told)
+    out = [r for r in told if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in out) / len(out) > 0.95

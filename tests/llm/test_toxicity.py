@@ -1,0 +1,69 @@
+import numpy as np
+import pytest
+
+from evenkeel.llm.q_toxicity import op10_toxicity
+from evenkeel.llm.toxicity import VOTERS, LabelModel, drop_toxic, entries, fit_linear, train, with_score
+
+DATA = "/root/testdata"
+DOCS = "doc_id long, text string, score string, toxic string"
+
+
+def test_entries():
+    assert entries("Abc abcdefgh!") == {"abc", "abcdefgh", "abc*", "abcd*", "abcde*", "abcdef*"}
+
+
+def test_label_model_finds_rates_and_shares_the_voice_of_copies():
+    rng = np.random.default_rng(1)
+    toxic = rng.random(20_000) < 0.1
+    true_yes, true_no = np.array([0.7, 0.5, 0.6, 0.4]), np.array([0.02, 0.01, 0.03, 0.02])
+    fired = (rng.random((20_000, 4)) < np.where(toxic[:, None], true_yes, true_no)).astype(int)
+    fired = np.hstack([fired, fired[:, :1], fired[:, :1]])  # two copies of the first voter
+    patterns, n = np.unique(fired, axis=0, return_counts=True)
+    model = LabelModel(6)
+    model.start(fired[:300], toxic[:300], 0.1)
+    model.fit(patterns, n.astype(float))
+    assert np.abs(model.toxic[:4] - true_yes).max() < 0.15
+    assert np.abs(model.clean[:4] - true_no).max() < 0.05
+    assert model.correlation[0, 4] > 0.9 and model.voice[0] < 0.4 < model.voice[1]
+    right = (model.posterior(fired) >= 0.5) == toxic
+    assert right.mean() > 0.95
+
+
+def test_linear_fit_separates_and_keeps_its_start_without_rows():
+    start = np.array([3.0, 0.0, -4.0])
+    assert (fit_linear([], np.zeros(0), np.zeros(0), start) == start).all()
+    w = fit_linear([[1], [], [0]] * 50, np.array([1.0, 0.0, 1.0] * 50), np.ones(150), start)
+    assert w[1] + w[2] > 0 > w[2] and w[0] + w[2] > 0
+
+
+def test_without_labels_the_fixed_list_decides(spark):
+    rows = [(1, None), (2, ""), (3, "A fine day."), (4, "You IDIOT."), (4, "You IDIOT."), (None, "x " * 300_000 + "Idiot")]
+    docs = spark.createDataFrame([(i, t, "a", None) for i, t in rows], DOCS)
+    labels = spark.createDataFrame([(None, 1), (3, None)], "doc_id long, toxic int")
+    scored = with_score(docs, train(docs, labels), "result").collect()
+    assert sorted((r.result >= 0.5) for r in scored) == [False] * 3 + [True] * 3
+    kept = drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == 3
+    assert with_score(docs.limit(0), train(docs.limit(0), labels), "result").count() == 0
+
+
+def test_learns_words_that_no_list_has(spark):
+    words = [f"grumbel{s}" for s in ("en", "ung", "los", "ig", "heit")]
+    rows = [(i, f"plain text number {i} of many " + (words[i % 5] if i % 4 == 0 else "calm")) for i in range(400)]
+    labels = [(i, int(i % 4 == 0)) for i in range(0, 400, 2)]
+    rows.append((1000, "what a grumbelschaft is that"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    score = {r.doc_id: r.s for r in with_score(docs, model, "s").collect()}
+    assert all((score[i] >= 0.5) == (i % 4 == 0) for i in range(400))
+    assert score[1000] >= 0.5
+    assert len(VOTERS) == len(model.labels.toxic)
+
+
+def test_held_out_texts(spark):
+    got = {r.doc_id: r for r in op10_toxicity(spark, f"{DATA}/sf0.01").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{DATA}/sf0.01/labels.parquet").collect()}
+    held = [i for i in labels if got[i].held_out]
+    assert held and all(got[i].predicted == 0 for i in held if labels[i] == 0)
+    assert sum(got[i].predicted for i in held if labels[i]) >= 0.6 * sum(labels[i] for i in held)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
