@@ -1,16 +1,18 @@
 """The queries of this subpackage and their SQL."""
 
-from evenkeel.llm import q_exact_dedup, q_language, q_packing, q_records, q_secrets, q_toxicity
+from evenkeel.llm import q_exact_dedup, q_language, q_packing, q_quality, q_records, q_secrets, q_toxicity
 
 QUERIES = {
     "op2_language": q_language.op2_language,
     "op3_token_records": q_records.op3_token_records,
     "op4_secrets": q_secrets.op4_secrets,
+    "op6_quality": q_quality.op6_quality,
     "op8_packing": q_packing.op8_packing,
     "op9_exact_dedup": q_exact_dedup.op9_exact_dedup,
     "op10_toxicity": q_toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
+    "op6_quality": q_quality.ORACLE,
     "op9_exact_dedup": q_exact_dedup.ORACLE,
 }
