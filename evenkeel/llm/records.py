@@ -180,7 +180,8 @@ def read_records(
                     index = index[random.Random(f"{shuffle_seed}/{shard}").sample(range(len(index)), len(index))]
                 yield from _read_shard(store, name, index, shard, first, shuffle_seed is None and chosen is None)
 
-    dealt = starts.repartition(key) if shuffle_seed is not None else starts.repartition("shard")
+    # A number of partitions of its own: by their few bytes Spark would join them into one.
+    dealt = starts.repartition(max(1, manifest.count()), key)
     return dealt.mapInArrow(read, "doc_id long, shard int, start long, ids binary")
 
 
