@@ -1,8 +1,9 @@
 """The queries of this subpackage and their SQL."""
 
-from evenkeel.llm import q_exact_dedup, q_language, q_packing, q_quality, q_records, q_secrets, q_toxicity
+from evenkeel.llm import q_exact_dedup, q_language, q_ngram_join, q_packing, q_quality, q_records, q_secrets, q_toxicity
 
 QUERIES = {
+    "op1_ngram_join": q_ngram_join.op1_ngram_join,
     "op2_language": q_language.op2_language,
     "op3_token_records": q_records.op3_token_records,
     "op4_secrets": q_secrets.op4_secrets,
