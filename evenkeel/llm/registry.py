@@ -1,12 +1,13 @@
 """The queries of this subpackage and their SQL."""
 
-from evenkeel.llm import q_exact_dedup, q_language, q_mixing, q_ngram_join, q_packing, q_quality, q_records, q_secrets, q_toxicity
+from evenkeel.llm import q_exact_dedup, q_language, q_lattice, q_mixing, q_ngram_join, q_packing, q_quality, q_records, q_secrets, q_toxicity
 
 QUERIES = {
     "op1_ngram_join": q_ngram_join.op1_ngram_join,
     "op2_language": q_language.op2_language,
     "op3_token_records": q_records.op3_token_records,
     "op4_secrets": q_secrets.op4_secrets,
+    "op5_lattice_scores": q_lattice.op5_lattice_scores,
     "op6_quality": q_quality.op6_quality,
     "op7_mixing": q_mixing.op7_mixing,
     "op8_packing": q_packing.op8_packing,
