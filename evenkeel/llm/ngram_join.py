@@ -532,18 +532,15 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
 
 def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, that of its smallest id, all columns as they were.
+    """``docs`` with the row of the smallest id of each component, all columns as they were.
 
-    Rows without words stay. Of rows that repeat an id and a text, one stays.
+    Rows without words stay. Rows that share an id stay or go together; a NULL id stays
+    only in a component of NULL ids.
     """
-    joined = ngram_join(docs, id_column, text_column)
     kept = (
-        joined.where(F.col(id_column).eqNullSafe(F.col("component_id")))
-        .select(F.col(id_column).alias("_kept_id"), F.col("n_shingles").alias("_kept_n"))
+        ngram_join(docs, id_column, text_column)
+        .where(F.col(id_column).eqNullSafe(F.col("component_id")))
+        .select(F.col(id_column).alias("_kept_id"))
         .distinct()
     )
-    marked = docs.withColumn("_row_id", F.col(id_column))
-    return (
-        marked.join(kept, F.col("_row_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-        .select(*docs.columns)
-    )
+    return docs.join(kept, F.col(id_column).eqNullSafe(F.col("_kept_id")), "left_semi")
