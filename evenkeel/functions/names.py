@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: longest worksheet name that spreadsheet programs accept.
+# Fixed value: longest worksheet name that spreadsheet programs accept; a length to cut tags to.
 SHEET_NAME_LENGTH = 31
 
 
@@ -36,16 +36,17 @@ def parse_list(value: str | Iterable[str] | None) -> list[str] | None:
     return [item for item in stripped if item]
 
 
-def sheet_name(file_name: Column) -> Column:
-    """Tag of a file: its base name without ``.csv``, cut to worksheet length.
+def sheet_name(file_name: Column, length: int | None = None) -> Column:
+    """Tag of a file: its base name without ``.csv``, cut to ``length`` only if one is given.
 
     ``file_name`` is percent-encoded, as file metadata columns are.
     """
     # url_decode reads forms, in which a plus sign is a space
     decoded = F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
-    return F.substring(F.replace(decoded, F.lit(".csv"), F.lit("")), 1, SHEET_NAME_LENGTH)
+    name = F.replace(decoded, F.lit(".csv"), F.lit(""))
+    return name if length is None else F.substring(name, 1, length)
 
 
-def sheet_name_of(file_name: str) -> str:
+def sheet_name_of(file_name: str, length: int | None = None) -> str:
     """The same tag for a name the driver already holds."""
-    return file_name.replace(".csv", "")[:SHEET_NAME_LENGTH]
+    return file_name.replace(".csv", "")[:length]

@@ -20,7 +20,10 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-DECIMAL_STYLES = ("plain", "stripped", "float")
+DECIMAL_STYLES = ("plain", "stripped", "float", "oracle")
+
+# How Spark reads a NUMBER column of Oracle that has no declared size.
+ORACLE_ANY = (38, 10)
 
 
 def canonical_text(name: str, data_type: T.DataType, decimals: str = "plain") -> Column:
@@ -29,7 +32,10 @@ def canonical_text(name: str, data_type: T.DataType, decimals: str = "plain") ->
     ``decimals`` picks the text of decimals that have a scale: ``plain`` keeps it
     (``10.50``), ``stripped`` drops trailing zeros (``10.5``, ``10``) and ``float``
     prints floating point numbers (``10.5``, ``10.0``), as database clients that
-    hand such columns out as floats would.
+    hand such columns out as floats would. ``oracle`` follows Oracle's Python clients
+    column by column: one with a declared scale prints floats, and one without
+    a declared size, which Spark reads as ``decimal(38,10)``, prints integral values
+    without a point and others as floats.
     """
     return F.expr(text_sql(quoted(name), data_type, decimals))
 
@@ -49,7 +55,7 @@ def quick_text(value: str, data_type: T.DataType, decimals: str = "plain") -> tu
     """
     if isinstance(data_type, T.StringType):
         return f"coalesce(CAST({value} AS STRING), '')", "true"
-    as_double = isinstance(data_type, T.DecimalType) and decimals == "float" and data_type.scale > 0
+    as_double = isinstance(data_type, T.DecimalType) and _printed_as_float(data_type, decimals)
     if isinstance(data_type, T.DoubleType) or as_double:
         number = f"CAST({value} AS DOUBLE)"
         printed_alike = f"abs({number}) >= 1e-3 AND abs({number}) < 1e7 OR {number} = 0"
@@ -57,6 +63,12 @@ def quick_text(value: str, data_type: T.DataType, decimals: str = "plain") -> tu
     return text_sql(value, data_type, decimals), "true"
 
 
+def _printed_as_float(data_type: T.DecimalType, decimals: str) -> bool:
+    if data_type.scale == 0 or decimals not in ("float", "oracle"):
+        return False
+    return decimals == "float" or (data_type.precision, data_type.scale) != ORACLE_ANY
+
+
 def _nullable_text(value: str, data_type: T.DataType, decimals: str) -> str:
     if isinstance(data_type, (T.StringType, T.CharType, T.VarcharType)):
         return _stripped(f"CAST({value} AS STRING)")  # the cast drops any collation
@@ -71,15 +83,21 @@ def _nullable_text(value: str, data_type: T.DataType, decimals: str) -> str:
         plain = f"CAST({value} AS STRING)"
         if decimals == "plain" or data_type.scale == 0:
             return plain
-        if decimals == "float":
+        if _printed_as_float(data_type, decimals):
             return _double_text(f"CAST({value} AS DOUBLE)")
+        if decimals == "oracle":
+            number = _double_text(f"CAST({value} AS DOUBLE)")
+            return f"CASE WHEN {value} % 1 = 0 THEN CAST(CAST({value} AS DECIMAL(38, 0)) AS STRING) ELSE {number} END"
         return f"rtrim('.', rtrim('0', {plain}))"
     if isinstance(data_type, T.BooleanType):
         return f"CASE {value} WHEN true THEN 'True' WHEN false THEN 'False' END"
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        # the cast cuts a fraction's trailing zeros; whole is 26 characters long
+        # The cast cuts a fraction's trailing zeros; a whole one has six digits. The year
+        # may have more than four.
         time = f"CAST({value} AS STRING)"
-        return f"CASE WHEN contains({time}, '.') THEN rpad({time}, 26, '0') ELSE {time} END"
+        whole = f"substring_index({time}, '.', 1)"
+        fraction = f"rpad(substring_index({time}, '.', -1), 6, '0')"
+        return f"CASE WHEN contains({time}, '.') THEN concat({whole}, '.', {fraction}) ELSE {time} END"
     raise TypeError(f"cannot compare values of type {data_type.simpleString()}")
 
 

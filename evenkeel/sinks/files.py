@@ -12,15 +12,20 @@ from evenkeel.sources.combine import FILE, SHEET
 
 
 def write_per_file(
-    groups: Iterable[DataFrame], path: str, table_format: str = "parquet", mode: str = "errorifexists"
+    groups: Iterable[DataFrame],
+    path: str,
+    table_format: str = "parquet",
+    mode: str = "errorifexists",
+    tag_length: int | None = None,
 ) -> None:
     """Write tables of ``csv_by_header`` to one ``sheet_name=...`` folder per file.
 
     Each folder has the columns of its own file only. Two files with the same
-    sheet name are an error, raised before anything is written.
+    sheet name are an error, raised before anything is written; ``tag_length`` is
+    the one that ``csv_by_header`` was given.
     """
     groups = list(groups)
-    _check_sheets([file for group in groups for file in group.inputFiles()])
+    _check_sheets([file for group in groups for file in group.inputFiles()], tag_length)
     for position, group in enumerate(groups):
         (
             group.drop(FILE)
@@ -38,9 +43,9 @@ def write_converted(df: DataFrame, path: str, mode: str = "errorifexists") -> No
     df.write.mode(mode).parquet(path)
 
 
-def _check_sheets(files: Iterable[str]) -> None:
+def _check_sheets(files: Iterable[str], tag_length: int | None) -> None:
     seen: dict[str, str] = {}
     for file in files:
-        sheet = sheet_name_of(unquote(file).rsplit("/", 1)[-1])
+        sheet = sheet_name_of(unquote(file).rsplit("/", 1)[-1], tag_length)
         if seen.setdefault(sheet, file) != file:
             raise ValueError(f"{seen[sheet]} and {file} share the sheet name {sheet!r}")

@@ -23,18 +23,19 @@ def csv_by_header(
     delimiter: str = ",",
     infer: bool = True,
     same_header: bool = False,
+    tag_length: int | None = None,
 ) -> list[DataFrame]:
     """One table per distinct header among the files, with their own columns.
 
-    Each has ``sheet_name`` (the file's base name without ``.csv``, at most 31
-    characters) and ``file_path`` in front. With ``infer`` column types come from
+    Each has ``sheet_name`` (the file's base name without ``.csv``, cut to
+    ``tag_length`` if that is given) and ``file_path`` in front. With ``infer`` column types come from
     a pass over the data, otherwise all columns are text. ``same_header=True``
     saves the pass that looks for headers; a file that differs is then an error.
     """
     if same_header:
-        return [_read_group(spark, path, delimiter, infer)]
+        return [_read_group(spark, path, delimiter, infer, tag_length)]
     return [
-        _read_group(spark, [_as_path(uri) for uri in row.files], delimiter, infer)
+        _read_group(spark, [_as_path(uri) for uri in row.files], delimiter, infer, tag_length)
         for row in _files_by_header(spark, path).collect()
     ]
 
@@ -63,13 +64,14 @@ def combine_csv(
     delimiter: str = ",",
     infer: bool = True,
     same_header: bool = False,
+    tag_length: int | None = None,
 ) -> DataFrame:
     """All files of ``path`` in one table; columns a file lacks are NULL.
 
     A column that is typed differently in files with different headers becomes
     text, unless all its types are numbers. See ``csv_by_header`` for the rest.
     """
-    groups = csv_by_header(spark, path, delimiter, infer, same_header)
+    groups = csv_by_header(spark, path, delimiter, infer, same_header, tag_length)
     if not groups:
         raise ValueError(f"no CSV with a header row at {path}")
     types: dict[str, set[T.DataType]] = {}
@@ -89,11 +91,11 @@ def combine_csv(
 
 
 def _read_group(
-    spark: SparkSession, path: str | list[str], delimiter: str, infer: bool
+    spark: SparkSession, path: str | list[str], delimiter: str, infer: bool, tag_length: int | None
 ) -> DataFrame:
     df = read_csv_inferred(spark, path, delimiter, infer)
     return df.select(
-        sheet_name(F.col("_metadata.file_name")).alias(SHEET),
+        sheet_name(F.col("_metadata.file_name"), tag_length).alias(SHEET),
         F.col("_metadata.file_path").alias(FILE),
         *[column(name) for name in df.columns],
     )

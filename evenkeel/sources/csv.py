@@ -14,8 +14,12 @@ from evenkeel.functions.text import canonical_text
 
 CORRUPT = "_corrupt_record"
 
-# Schema taken when a typed read is given none.
-GENERIC_SCHEMA = "column1 STRING, column2 INT, column3 DOUBLE"
+# No text holds it, so a reader with this delimiter gives whole lines.
+NO_DELIMITER = "\u0001"
+
+# How a quote is written inside a quoted cell.
+DOUBLED = '"'
+BACKSLASH = "\\"
 
 
 def read_csv_strict(
@@ -23,7 +27,7 @@ def read_csv_strict(
     path: str | list[str],
     delimiter: str = ",",
     columns: Sequence[str] | None = None,
-    multi_line: bool | None = None,
+    multi_line: bool = True,
     trim: bool = True,
 ) -> DataFrame:
     """CSV with a header as text columns; bad files and rows are errors.
@@ -34,13 +38,12 @@ def read_csv_strict(
     cells are ignored. With ``trim`` every cell is stripped and a blank is ``""``;
     without it cells stay raw and blanks are NULL, which ``reconcile`` treats alike.
 
-    ``multi_line=True`` allows line breaks in quoted cells but makes one task per
-    file. The default finds out whether any file needs it: files of up to one
-    split cost nothing, larger ones are searched once for an unbalanced quote or a
-    line of white space, which only the multi-line reader takes for a row.
+    Every file is read alike, whatever its size. By default cells may hold line
+    breaks, which makes one task per file. ``multi_line=False`` splits files at their
+    line ends; a line that ends inside a quoted cell is then an error. So are, in both
+    modes, text behind a closing quote and a carriage return without a line feed where
+    it cannot be told from a row end: in a quoted cell, and by default in any cell.
     """
-    if multi_line is None:
-        multi_line = needs_multi_line(spark, path)
     raw_names = csv_header(spark, path, delimiter)
     names = clean_header(raw_names)
     wanted = list(dict.fromkeys(columns)) if columns is not None else names
@@ -49,14 +52,22 @@ def read_csv_strict(
         raise ValueError(f"CSV header lacks columns: {absent}")
 
     fields = [T.StructField(raw or name, T.StringType()) for raw, name in zip(raw_names, names, strict=True)]
-    df = (
-        csv_reader(spark, delimiter, multi_line)
-        .schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]))
-        # A blank header cell has no name to check against.
-        .option("enforceSchema", not all(raw_names))
-        .csv(path)
-        .toDF(*names, CORRUPT)
-    )
+    schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    if multi_line:
+        df = (
+            csv_reader(spark, delimiter, multi_line)
+            # Told, not detected: a file may end its lines in both ways.
+            .option("lineSep", "\n")
+            .schema(schema)
+            # A blank header cell has no name to check against.
+            .option("enforceSchema", not all(raw_names))
+            .csv(path)
+            .toDF(*names, CORRUPT)
+            .where(_no_lone_return(names))
+            .withColumns({name: F.rtrim(column(name), F.lit("\r")) for name in names})
+        )
+    else:
+        df = _parsed_lines(spark, path, delimiter, schema).toDF(*names, CORRUPT)
     if wanted:
         needed = 1 + max(names.index(name) for name in wanted)
         df = df.where(_long_enough(names, needed, delimiter))
@@ -68,19 +79,21 @@ def read_csv_strict(
 def read_csv_typed(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType | str | None = None,
+    schema: T.StructType | str,
     delimiter: str = ",",
     partitions: int | None = None,
     check_header: bool = True,
+    escape: str = BACKSLASH,
 ) -> DataFrame:
     """CSV with a header under an explicit schema; unreadable cells become NULL.
 
-    With ``check_header`` a file whose header does not follow the schema is an
+    ``escape`` stands before a quote inside a quoted cell; ``DOUBLED`` for a second
+    quote. With ``check_header`` a file whose header does not follow the schema is an
     error; without it columns are taken by position.
     """
     df = (
-        csv_reader(spark, delimiter, multi_line=False)
-        .schema(schema or GENERIC_SCHEMA)
+        csv_reader(spark, delimiter, multi_line=False, escape=escape, strict=False)
+        .schema(schema)
         .option("enforceSchema", not check_header)
         .csv(path)
     )
@@ -94,16 +107,19 @@ def read_csv_dropping_bad(
     delimiter: str = ",",
     partitions: int | None = None,
     check_header: bool = True,
+    escape: str = BACKSLASH,
 ) -> DataFrame:
     """Typed CSV without its bad rows: short, long or not of the column types.
 
+    ``escape`` as in ``read_csv_typed``.
+
     Spark's own DROPMALFORMED only looks at the columns a query happens to read,
     so counts differ from query to query. Here every row is checked whole.
     """
     parsed = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     names = parsed.fieldNames()
     df = (
-        csv_reader(spark, delimiter, multi_line=False)
+        csv_reader(spark, delimiter, multi_line=False, escape=escape, strict=False)
         .schema(T.StructType([*parsed.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("enforceSchema", not check_header)
         .csv(path)
@@ -119,18 +135,26 @@ def read_csv_dropping_bad(
 def read_csv_inferred(
     spark: SparkSession, path: str | list[str], delimiter: str = ",", infer: bool = True
 ) -> DataFrame:
-    """CSV with a header; ``infer`` finds column types by a pass over the data."""
-    return (
-        csv_reader(spark, delimiter, needs_multi_line(spark, path))
+    """CSV with a header; ``infer`` finds column types by a pass over the data.
+
+    Cells may hold line breaks, so each file is one task, whatever its size. Text behind a
+    closing quote and carriage returns without a line feed are errors. A file must end
+    all its lines alike.
+    """
+    df = (
+        csv_reader(spark, delimiter, multi_line=True)
         .option("inferSchema", infer)
         .option("enforceSchema", False)
         .csv(path)
     )
+    texts = [field.name for field in df.schema.fields if isinstance(field.dataType, T.StringType)]
+    return df.where(_no_lone_return(texts, corrupt=None)) if texts else df
 
 
 def csv_header(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> list[str]:
     """Raw header names; a blank header cell is ``""``."""
-    first = csv_reader(spark, delimiter, multi_line=True).option("header", False).csv(path).head(1)
+    reader = csv_reader(spark, delimiter, multi_line=True).option("lineSep", "\n")
+    first = reader.option("header", False).csv(path).head(1)
     if not first:
         raise ValueError(f"CSV has no header row: {path}")
     names = [name or "" for name in first[0]]
@@ -140,22 +164,74 @@ def csv_header(spark: SparkSession, path: str | list[str], delimiter: str = ",")
 def clean_header(raw_names: Sequence[str]) -> list[str]:
     """Stripped header names; a blank one is named by its position, like ``_c2``."""
     names = [raw.strip() or f"_c{i}" for i, raw in enumerate(raw_names)]
+    if any("\r" in name for name in names):
+        raise ValueError("CSV header holds a carriage return without a line feed")
     repeated = sorted({name for name in names if names.count(name) > 1})
     if repeated:
         raise ValueError(f"CSV header repeats columns: {repeated}")
+    folded = [name.lower() for name in names]
+    alike = sorted({name for name in names if folded.count(name.lower()) > 1})
+    if alike:
+        raise ValueError(f"CSV header has columns that differ in letter case only: {alike}")
     if CORRUPT in names:
         raise ValueError(f"CSV header may not use the name {CORRUPT}")
     return names
 
 
-def csv_reader(spark: SparkSession, delimiter: str, multi_line: bool):
-    return (
+def csv_reader(
+    spark: SparkSession, delimiter: str, multi_line: bool, escape: str = DOUBLED, strict: bool = True
+):
+    reader = (
         spark.read.option("header", True)
         .option("sep", delimiter)
-        .option("escape", '"')
+        .option("escape", escape)
         .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
+    # With doubled quotes a single one inside a quoted cell has no meaning.
+    return reader.option("unescapedQuoteHandling", "RAISE_ERROR") if strict else reader
+
+
+def _failing(fails: Column, *shown: Column) -> Column:
+    """Filter that fails the query where ``fails`` holds."""
+    message = F.concat_ws(" ", *shown)
+    return F.when(fails, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
+def _no_lone_return(names: Sequence[str], corrupt: str | None = CORRUPT) -> Column:
+    """Filter that fails on a carriage return without a line feed: a row end, or part of a cell.
+
+    The last cell of a row may end in one, which belongs to the line's end.
+    """
+    present = F.concat_ws(",", *[column(name) for name in names])
+    cells = F.concat_ws(",", *[F.coalesce(column(name), F.lit("")) for name in names])
+    if corrupt is not None:
+        cells = F.when(F.col(corrupt).isNull(), cells).otherwise(present)  # a short row ends sooner
+    shown = F.lit("CSV cell holds a carriage return without a line feed:")
+    return _failing(F.contains(present, F.lit("\r")) & cells.rlike("\r(?!\n|\\z)"), shown, cells)
+
+
+def _parsed_lines(spark: SparkSession, path: str | list[str], delimiter: str, schema: T.StructType) -> DataFrame:
+    """Rows of one line each, read line by line; a line that ends inside a quoted cell fails."""
+    reader = spark.read.option("sep", NO_DELIMITER).option("quote", "")
+    first = reader.option("header", False).csv(path).head(1)
+    header = (first[0][0] if first else "").removeprefix("\ufeff")
+    lines = (
+        reader.option("header", True)
+        .option("enforceSchema", not header)
+        .schema(T.StructType([T.StructField(header or "line", T.StringType())]))
+        .csv(path)
+        .toDF("line")
+    )
+    sep = re.escape(delimiter)
+    cell = f'(?:"[^"]*+(?:""[^"]*+)*+"\\s*+|(?!")(?:(?!{sep}).)*+)'
+    whole = F.col("line").rlike(f"^{cell}(?:{sep}{cell})*+$")
+    options = {"sep": delimiter, "escape": DOUBLED, "columnNameOfCorruptRecord": CORRUPT}
+    shown = F.lit("CSV line ends inside a quoted cell, or has text behind one:")
+    checked = lines.where(_failing(~whole, shown, F.col("line")))
+    # Positions for names, which need no quoting then.
+    by_place = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields[:-1])] + [schema.fields[-1]])
+    return checked.select(F.from_csv("line", by_place.simpleString()[7:-1].replace(":", " "), options).alias("row")).select("row.*")
 
 
 def _long_enough(names: Sequence[str], needed: int, delimiter: str) -> Column:
@@ -165,27 +241,5 @@ def _long_enough(names: Sequence[str], needed: int, delimiter: str) -> Column:
     cells = F.regexp_count(F.col(CORRUPT), F.lit(f"(?s)(?:^|{sep}){cell}"))
     # Naming all columns keeps the parser from pruning any, without which it
     # would not see that a row is short.
-    shown = F.concat_ws(delimiter, F.lit("CSV row is too short:"), CORRUPT, *[column(n) for n in names])
     too_short = F.col(CORRUPT).isNotNull() & (cells < needed)
-    return F.when(too_short, F.raise_error(shown).cast("boolean")).otherwise(F.lit(True))
-
-
-def needs_multi_line(spark: SparkSession, path: str | list[str]) -> bool:
-    """True unless reading line by line gives the same rows and splits better."""
-    split = _size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    # Listing only: the files' content is not read.
-    files = spark.read.format("binaryFile").load(path)
-    if not files.where(F.col("length") > split).select("path").head(1):
-        return True
-    lines = spark.read.text(path)
-    unquoted = F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    odd_quotes = F.contains(F.col("value"), F.lit('"')) & ((F.length("value") - unquoted) % 2 == 1)
-    # The line reader skips lines of white space, which are rows to Python.
-    white_line = F.col("value").rlike(r"^[\x00-\x20]+$")
-    return bool(lines.where(odd_quotes | white_line).head(1))
-
-
-def _size_in_bytes(setting: str) -> int:
-    units = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    number, unit = re.fullmatch(r"(\d+)\s*([a-z]?)b?", setting.strip().lower()).groups()
-    return int(number) * units[unit]
+    return _failing(too_short, F.lit("CSV row is too short:"), F.col(CORRUPT), *[column(n) for n in names])

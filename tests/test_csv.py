@@ -2,6 +2,7 @@
 
 import csv
 import io
+import re
 
 import pytest
 from py4j.protocol import Py4JError
@@ -15,7 +16,7 @@ from evenkeel.sources import (
     read_csv_strict,
     read_csv_typed,
 )
-from evenkeel.sources.csv import needs_multi_line
+from evenkeel.sources.csv import DOUBLED
 
 SALES = "id INT, name STRING, amount DOUBLE, category STRING"
 
@@ -60,14 +61,100 @@ SAME_AS_PYTHON = {
 }
 
 
-@pytest.mark.parametrize("multi_line", [None, True])
+SAME_AS_PYTHON |= {
+    "stray quotes": 'id,a,b\n0,5" x,"p\n0q,r,s,t",6" y\n',
+    "line ends of both kinds": "id,v\r\n1,a\n2,b\r\n",
+}
+REFUSED = {
+    "carriage returns end all lines": "id,v\r1,a\r2,b\r",
+    "return before an empty cell": "id,v,w\n0,a\r,\n",
+    "lone carriage return": "id,v\n0,a\rb0,c\n",
+    "quoted carriage return": 'id,v\n0,"a\rb0"\n',
+    "text behind a quote": 'id,v\n1,"ab"c\n',
+}
+NOT_ONE_LINE_ROWS = ("line break in quotes", "stray quotes", "a line of white space")
+
+
+def longer(text):
+    """The same rows over and over, so that an 8 kB split cuts the file."""
+    first = re.search("\r\n|\n|\r", text).end()
+    return text[:first] + text[first:] * (1 + 30_000 // max(1, len(text) - first)) if len(text) > first else text
+
+
+@pytest.fixture(params=["one split", "many splits"])
+def splits(spark, request):
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    if request.param == "many splits":
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
 @pytest.mark.parametrize("case", SAME_AS_PYTHON)
-def test_strict_source_equals_python(spark, put, case, multi_line):
+def test_strict_source_equals_python(spark, put, case, splits):
     text = SAME_AS_PYTHON[case]
+    if case != "no last line break":
+        text = longer(text)
     names, rows = python_rows(text)
-    df = read_csv_strict(spark, put(text), multi_line=multi_line)
+    rows = sorted(row[: len(names)] for row in rows)  # surplus cells are ignored
+    path = put(text)
+    df = read_csv_strict(spark, path)
     assert df.columns == names
     assert sorted(tuple(row) for row in df.collect()) == rows
+    some = read_csv_strict(spark, path, columns=names[:1])
+    assert sorted(tuple(row) for row in some.collect()) == sorted(row[:1] for row in rows)
+    if case not in NOT_ONE_LINE_ROWS:
+        lines = read_csv_strict(spark, path, multi_line=False)
+        assert lines.columns == names
+        assert sorted(tuple(row) for row in lines.collect()) == rows
+
+
+@pytest.mark.parametrize("case", REFUSED)
+def test_strict_source_refuses_what_it_cannot_tell(spark, put, case, splits):
+    path = put(longer(REFUSED[case]))
+    for columns in (None, ["id"]):
+        with pytest.raises((PySparkException, Py4JError, ValueError)):
+            read_csv_strict(spark, path, columns=columns).collect()
+    if case != "carriage returns end all lines":
+        with pytest.raises((PySparkException, Py4JError)):
+            read_csv_inferred(spark, path).collect()
+
+
+def test_one_line_rows_refuse_open_cells_and_follow_carriage_returns(spark, put, splits):
+    for case in ("line break in quotes", "stray quotes"):
+        for columns in (None, ["id"]):
+            with pytest.raises((PySparkException, Py4JError)):
+                read_csv_strict(spark, put(longer(SAME_AS_PYTHON[case])), columns=columns, multi_line=False).collect()
+    for case in ("quoted carriage return", "text behind a quote"):
+        with pytest.raises((PySparkException, Py4JError)):
+            read_csv_strict(spark, put(longer(REFUSED[case])), multi_line=False).collect()
+    text = longer(REFUSED["lone carriage return"])
+    got = read_csv_strict(spark, put(text), multi_line=False).collect()
+    assert sorted(tuple(row) for row in got) == python_rows(text)[1]
+
+
+def test_one_line_rows_are_split(spark, put):
+    path = put("id,v\n" + "".join(f'{i},"x{i}"\n' for i in range(3000)))
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = read_csv_strict(spark, path, multi_line=False)
+        assert df.rdd.getNumPartitions() > 1 and df.distinct().count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
+def test_names_that_differ_in_case_are_refused(spark, put):
+    with pytest.raises(ValueError, match="letter case"):
+        read_csv_strict(spark, put("id,v,V\n1,2,3\n"))
+
+
+def test_escapes_of_typed_files(spark, put):
+    path = put('column1,column2\n"a\\"b",1\n"c""d",2\n')
+    schema = "column1 STRING, column2 INT"
+    for read in (read_csv_typed, read_csv_dropping_bad):
+        assert read(spark, path, schema).where("column2 = 1").first().column1 == 'a"b'
+        assert read(spark, path, schema, escape=DOUBLED).where("column2 = 2").first().column1 == 'c"d'
 
 
 @pytest.mark.parametrize("delimiter", [";", "|", "\t", "^", "||"])
@@ -126,24 +213,6 @@ def test_strict_source_many_files_need_one_header(spark, put):
         read_csv_strict(spark, folder).collect()
 
 
-def test_large_files_are_split_unless_cells_break_lines(spark, put):
-    plain = put("id,v\n" + "".join(f'{i},"x{i}"\n' for i in range(3000)), "plain.csv")
-    broken = put("id,v\n" + "".join(f'{i},"x\n{i}"\n' for i in range(3000)), "broken.csv")
-    assert needs_multi_line(spark, plain)  # smaller than one split: no look inside
-    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
-    try:
-        assert not needs_multi_line(spark, plain)
-        assert needs_multi_line(spark, broken)
-        assert needs_multi_line(spark, put("id\n" + "123456\n" * 2000 + " \t\n", "white.csv"))
-        df = read_csv_strict(spark, plain)
-        assert df.rdd.getNumPartitions() > 1
-        assert df.distinct().count() == 3000
-        assert read_csv_strict(spark, broken).distinct().count() == 3000
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
-
-
 def test_bad_rows_are_dropped_whatever_is_read(spark, put):
     text = "id,name,amount,category\n1,a,1.5,x\nbad,b,2.5,y\n3,c,zz,z\n4,d\n5,e,1,f,g\n6,,,\n"
     df = read_csv_dropping_bad(spark, put(text), SALES)
@@ -158,13 +227,14 @@ def test_bad_rows_are_dropped_whatever_is_read(spark, put):
 
 def test_typed_load(spark, put):
     path = put("column1,column2,column3\na,1,1.5\nb,x,2\n")
-    df = read_csv_typed(spark, path)
+    schema = "column1 STRING, column2 INT, column3 DOUBLE"
+    df = read_csv_typed(spark, path, schema)
     assert [tuple(r) for r in df.collect()] == [("a", 1, 1.5), ("b", None, 2.0)]
-    assert read_csv_typed(spark, path, partitions=3).rdd.getNumPartitions() == 3
+    assert read_csv_typed(spark, path, schema, partitions=3).rdd.getNumPartitions() == 3
     swapped = put("column2,column1,column3\n1,a,1.5\n", "swapped.csv")
     with pytest.raises(Py4JError, match="CSV header"):
-        read_csv_typed(spark, swapped).collect()
-    by_position = read_csv_typed(spark, swapped, check_header=False).collect()
+        read_csv_typed(spark, swapped, schema).collect()
+    by_position = read_csv_typed(spark, swapped, schema, check_header=False).collect()
     assert [tuple(r) for r in by_position] == [("1", None, 1.5)]
 
 
@@ -186,9 +256,10 @@ def test_combine_files_of_different_headers(spark, put):
         ("first + file", "1", "a", None),
         ("first + file", "2", "b", None),
         ("second", "x", "c", None),
-        (("long" * 10)[:31], "7", None, 0.5),
+        ("long" * 10, "7", None, 0.5),
         ("third", "9", "d", None),
     }
+    assert {r.sheet_name for r in combine_csv(spark, glob, tag_length=5).collect()} == {"first", "secon", "longl", "third"}
     assert len(csv_by_header(spark, glob)) == 2
     with pytest.raises(Py4JError, match="CSV header"):
         combine_csv(spark, glob, infer=False, same_header=True).collect()

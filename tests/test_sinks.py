@@ -74,9 +74,10 @@ def test_per_file_output(spark, tmp_path):
 def test_per_file_output_refuses_a_shared_sheet_name(spark, tmp_path):
     for end in "xy":
         (tmp_path / f"{'n' * 31}{end}.csv").write_text("id\n1\n")
-    groups = csv_by_header(spark, f"{tmp_path}/*.csv")
+    write_per_file(csv_by_header(spark, f"{tmp_path}/*.csv"), str(tmp_path / "whole"))
+    groups = csv_by_header(spark, f"{tmp_path}/*.csv", tag_length=31)
     with pytest.raises(ValueError, match="share the sheet name"):
-        write_per_file(groups, str(tmp_path / "out"))
+        write_per_file(groups, str(tmp_path / "out"), tag_length=31)
     assert not (tmp_path / "out").exists()
 
 

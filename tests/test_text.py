@@ -102,3 +102,21 @@ def test_parse_list():
     assert parse_list(["a", "b"]) == ["a", "b"]
     assert parse_list(None) is None
     assert parse_list("") == []
+
+
+def test_far_timestamps_keep_their_fraction(spark):
+    # Python's own type ends with year 9999.
+    times = ["9999-12-31 23:59:59.5", "+10000-01-01 00:00:00.123456", "+10000-01-01 00:00:00.123457", "+10000-01-01 00:00:00"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "i int, t string").selectExpr("i", "CAST(t AS TIMESTAMP_NTZ) AS t")
+    got = [r.x for r in df.select("i", canonical_text("t", T.TimestampNTZType()).alias("x")).orderBy("i").collect()]
+    assert got == ["9999-12-31 23:59:59.500000", *times[1:]]
+
+
+def test_oracle_numbers(spark):
+    huge = Decimal("9" * 28)
+    any_size = [None, Decimal(0), Decimal(1), Decimal(-12), Decimal("1.5"), Decimal("-0.25"), huge, Decimal(10) ** 16]
+    got = texts(spark, any_size, T.DecimalType(38, 10), decimals="oracle")
+    assert got == ["", "0", "1", "-12", "1.5", "-0.25", "9" * 28, "10000000000000000"]
+    with_scale = [None, Decimal("1.00"), Decimal("1.50"), Decimal("-3.25")]
+    assert texts(spark, with_scale, T.DecimalType(10, 2), decimals="oracle") == ["", "1.0", "1.5", "-3.25"]
+    assert texts(spark, [None, Decimal(7)], T.DecimalType(10, 0), decimals="oracle") == ["", "7"]
