@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import sqlite3
 import uuid
@@ -10,13 +11,15 @@ from contextlib import closing
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions import canonical_text
+from evenkeel.functions.names import SHEET_NAME_LENGTH
 from evenkeel.functions.text import WHITE_SPACE
 from evenkeel.operators import duplicate_keys as repeated_keys
 from evenkeel.plans import Reconciliation, reconcile
-from evenkeel.session import scratch_path
+from evenkeel.session import allow_local_scratch, scratch_path
 from evenkeel.sinks import (
     append_to_table,
     create_database,
@@ -25,6 +28,7 @@ from evenkeel.sinks import (
     write_converted,
     write_per_file,
 )
+from evenkeel.sources.csv import DOUBLED
 from evenkeel.sources import (
     combine_csv,
     csv_by_header,
@@ -78,7 +82,7 @@ NARROW_TARGET = f"""
 ORDERS_KEY = ["o_orderkey"]
 ORDERS_COMPARE = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 EVENTS_KEY = ["user_id", "ts"]
-EVENTS_COMPARE = ["event_type", "value", "props"]
+EVENTS_COMPARE = ["event_id", "event_type", "value", "props"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,20 +156,13 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def canonical_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders")
-    events = _table(spark, sf_dir, "events")
-    return _as_text(
-        orders, "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"
-    ).unionAll(_as_text(events, "event_id", "value", "ts", "props"))
+    tables = [_table(spark, sf_dir, name) for name in ("orders", "events")]
+    return _as_text(tables[0]).unionAll(_as_text(tables[1]))
 
 
-def _as_text(df: DataFrame, *names: str) -> DataFrame:
-    aliases = ("id_text", "number_text", "time_text", "string_text")
+def _as_text(df: DataFrame) -> DataFrame:
     return df.select(
-        *[
-            canonical_text(name, df.schema[name].dataType).alias(alias)
-            for name, alias in zip(names, aliases, strict=True)
-        ]
+        *[canonical_text(field.name, field.dataType).alias(f"text_{i}") for i, field in enumerate(df.schema.fields)]
     )
 
 
@@ -194,7 +191,8 @@ def csv_strict_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_strict_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents").selectExpr("CAST(doc_id AS STRING) AS doc_id", "text")
+    documents = _table(spark, sf_dir, "documents")
+    documents = documents.selectExpr(*[f"CAST({name} AS STRING) AS {name}" for name in documents.columns])
     return read_csv_strict(spark, _written_csv(documents, scratch_path(spark, "csv")))
 
 
@@ -216,9 +214,8 @@ def parquet_load_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _table(spark, sf_dir, "customer")
-    return read_csv_typed(
-        spark, _written_csv(customer, scratch_path(spark, "csv")), customer.schema
-    )
+    path = _written_csv(customer, scratch_path(spark, "csv"))
+    return read_csv_typed(spark, path, customer.schema, escape=DOUBLED)
 
 
 def csv_glob_drop_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,10 +230,10 @@ def csv_glob_drop_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder,
         "mistyped",
     )
-    return read_csv_dropping_bad(spark, f"{folder}/*/*.csv", customer.schema, check_header=False)
+    return read_csv_dropping_bad(spark, f"{folder}/*/*.csv", customer.schema, check_header=False, escape=DOUBLED)
 
 
-# Names of more than 31 characters, so that all files of a table share one tag.
+# Names of more than 31 characters, so that cut tags are shared by all files of a table.
 TAGGED = {name: f"{name}_rows_of_the_combined_csv_files" for name in ("nation", "region", "supplier")}
 
 
@@ -254,17 +251,42 @@ def _tagged_csvs(spark: SparkSession, sf_dir: str) -> str:
 
 
 def csv_combine_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combine_csv(spark, _tagged_csvs(spark, sf_dir)).drop("file_path")
+    combined = combine_csv(spark, _tagged_csvs(spark, sf_dir)).drop("file_path")
+    # How many part files there are is Spark's choice; their numbers are not compared.
+    return combined.withColumn("sheet_name", F.regexp_replace("sheet_name", "_[0-9]{5}$", ""))
+
+
+def csv_combine_cut_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine_csv(spark, _tagged_csvs(spark, sf_dir), tag_length=SHEET_NAME_LENGTH).drop("file_path")
 
 
 def csv_per_file_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_path(spark, "csv")
-    for name in TAGGED:
-        _written_csv(_table(spark, sf_dir, name), folder, name)
     output = scratch_path(spark, "sheets")
-    write_per_file(csv_by_header(spark, f"{folder}/*/*.csv"), output)
-    # The tag is a random part name here, so the check is on the rows alone.
-    return spark.read.option("mergeSchema", True).parquet(output).drop("sheet_name")
+    write_per_file(csv_by_header(spark, _tagged_csvs(spark, sf_dir)), output)
+    written = spark.read.option("mergeSchema", True).parquet(output)
+    return written.withColumn("sheet_name", F.regexp_replace("sheet_name", "_[0-9]{5}$", ""))
+
+
+def recon_oracle_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text keys and prices against numbers as Oracle's columns come: without a size, and with a scale."""
+    orders = _table(spark, sf_dir, "orders")
+    source = orders.selectExpr(
+        "CAST(o_orderkey AS STRING) AS o_orderkey",
+        "CAST(o_custkey AS STRING) AS o_custkey",
+        "o_orderstatus",
+        "CAST(o_totalprice AS STRING) AS o_totalprice",
+        "o_orderdate",
+        "o_orderpriority",
+    )
+    target = _derived(orders, "orders", ORDERS_TARGET).selectExpr(
+        "CAST(o_orderkey AS DECIMAL(38, 10)) AS o_orderkey",
+        "CAST(o_custkey AS DECIMAL(10, 0)) AS o_custkey",
+        "o_orderstatus",
+        "CAST(o_totalprice AS DECIMAL(15, 2)) AS o_totalprice",
+        "o_orderdate",
+        "o_orderpriority",
+    )
+    return reconcile(source, target, ORDERS_KEY, target_label="oracle", decimals="oracle").report()
 
 
 def csv_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,6 +377,7 @@ ORDERS_TEXT = {
     "o_orderpriority": _sql_trimmed("o_orderpriority"),
 }
 EVENTS_TEXT = {
+    "event_id": _sql_text("event_id"),
     "event_type": _sql_trimmed("event_type"),
     "value": _sql_text("value"),
     "props": _sql_trimmed("props"),
@@ -451,13 +474,13 @@ def core_oracle_sql() -> dict[str, str]:
             FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
         """,
         "canonical_texts": f"""
-            SELECT {_sql_text("o_orderkey")} AS id_text, {_sql_text("o_totalprice")} AS number_text,
-                   {_sql_time("o_orderdate")} AS time_text,
-                   {_sql_trimmed("o_orderpriority")} AS string_text
+            SELECT {_sql_text("o_orderkey")} AS text_0, {_sql_text("o_custkey")} AS text_1,
+                   {_sql_trimmed("o_orderstatus")} AS text_2, {_sql_text("o_totalprice")} AS text_3,
+                   {_sql_time("o_orderdate")} AS text_4, {_sql_trimmed("o_orderpriority")} AS text_5
             FROM orders
             UNION ALL
-            SELECT {_sql_text("event_id")}, {_sql_text("value")}, {_sql_time("ts")},
-                   {_sql_trimmed("props")}
+            SELECT {_sql_text("event_id")}, {_sql_time("ts")}, {_sql_text("user_id")}, {_sql_trimmed("event_type")},
+                   {_sql_text("value")}, {_sql_trimmed("props")}
             FROM events
         """,
         "report_sink_roundtrip": f"""
@@ -472,7 +495,10 @@ def core_oracle_sql() -> dict[str, str]:
             FROM orders
         """,
         "csv_strict_quoted_lines": f"""
-            SELECT {_sql_text("doc_id")} AS doc_id, {_sql_trimmed("text")} AS text FROM documents
+            SELECT {_sql_text("doc_id")} AS doc_id, {_sql_trimmed("text")} AS text,
+                   {_sql_trimmed("lang")} AS lang, {_sql_trimmed("source")} AS source,
+                   {_sql_text("n_chars")} AS n_chars
+            FROM documents
         """,
         "csv_recon": report,
         "parquet_load": "SELECT * FROM lineitem",
@@ -480,12 +506,16 @@ def core_oracle_sql() -> dict[str, str]:
         "csv_typed_load": "SELECT * FROM customer",
         "csv_glob_drop_bad": "SELECT * FROM customer",
         "csv_combine_tagged": " UNION ALL ".join(
-            f"SELECT '{TAGGED[name][:31]}' AS sheet_name, {columns} FROM {name}"
+            f"SELECT '{TAGGED[name]}' AS sheet_name, {columns} FROM {name}" for name, columns in combined_columns.items()
+        ),
+        "csv_combine_cut_tags": " UNION ALL ".join(
+            f"SELECT '{TAGGED[name][:SHEET_NAME_LENGTH]}' AS sheet_name, {columns} FROM {name}"
             for name, columns in combined_columns.items()
         ),
         "csv_per_file_output": " UNION ALL ".join(
-            f"SELECT {columns} FROM {name}" for name, columns in combined_columns.items()
+            f"SELECT '{TAGGED[name]}' AS sheet_name, {columns} FROM {name}" for name, columns in combined_columns.items()
         ),
+        "recon_oracle_numbers": _sql_report(orders, 1, ORDERS_COMPARE, "oracle"),
         "csv_convert": f"SELECT {part_columns} FROM part",
         "warehouse_append": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",
         "db_load_and_recon": """
@@ -526,6 +556,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             csv_typed_load,
             csv_glob_drop_bad,
             csv_combine_tagged,
+            csv_combine_cut_tags,
+            recon_oracle_numbers,
             csv_per_file_output,
             csv_convert,
             warehouse_append,
@@ -555,7 +587,18 @@ def _training_data() -> tuple[dict, dict]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**core_queries(), **_training_data()[0]}
+    return {name: _with_scratch(query) for name, query in {**core_queries(), **_training_data()[0]}.items()}
+
+
+def _with_scratch(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, which a local session may run without a shared folder."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        allow_local_scratch(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:

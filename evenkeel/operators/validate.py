@@ -14,7 +14,7 @@ from evenkeel.functions.names import quoted
 from evenkeel.functions.text import text_sql
 
 
-DUPLICATE_MESSAGE = "Duplicate key found in"
+DUPLICATE_MESSAGE = "A key repeats in"
 
 
 class DuplicateKeyError(ValueError):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from evenkeel.functions.names import parse_list
 from evenkeel.operators import compare as cmp
@@ -115,8 +115,12 @@ class Reconciliation:
         The summary is observed while the lines are written, in the tasks of the
         job's last stage: Spark counts each of those once, however often tasks or
         executors are lost. Sorting needs a further stage, so an ordered report
-        is staged in the shared scratch folder (its differences only) first.
+        is staged in the shared scratch folder (its differences only) first; the
+        staged lines are deleted at the end, also after a failure. A ``path`` that
+        exists is refused before any work if ``mode`` does not allow it.
         """
+        if mode in ("error", "errorifexists"):
+            check_absent(self._source.sparkSession, path)
         observed = Observation("summary")
         joined = self._joined("full_outer").observe(
             observed, *summary_columns(self._cells, self.labels)
@@ -135,9 +139,13 @@ class Reconciliation:
         if ordered:
             spark = lines.sparkSession
             staged = scratch_path(spark, "report")
-            lines.write.parquet(staged)
-            lines = self._sorted(spark.read.parquet(staged))
-        write_report_csv(lines, path, mode)
+            try:
+                lines.write.parquet(staged)
+                write_report_csv(self._sorted(spark.read.parquet(staged)), path, mode)
+            finally:
+                _delete(spark, staged)
+        else:
+            write_report_csv(lines, path, mode)
 
     def _sides(self, compare: list[str]) -> list[DataFrame]:
         return [
@@ -157,3 +165,20 @@ class Reconciliation:
 
     def _sorted(self, lines: DataFrame) -> DataFrame:
         return lines.orderBy(*report_order(self._key_names, self.compare, self.labels))
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def check_absent(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    if files.exists(place):
+        raise FileExistsError(f"report {path} already exists")
+
+
+def _delete(spark: SparkSession, scratch: str) -> None:
+    """Remove a folder of ``scratch_path``, with the parent made for it alone."""
+    files, place = _place(spark, scratch)
+    files.delete(place.getParent(), True)

@@ -210,3 +210,11 @@ def test_jdbc_reconcile_by_decimal_style(spark, url):
 def test_jdbc_table_must_exist(spark, url):
     with pytest.raises(Py4JError):
         jdbc_table(spark, url, "nope")
+
+
+@pytest.mark.parametrize("url", ["jdbc:mariadb://h/db", "jdbc:sqlite:f.db", "jdbc:h2:mem:x", "jdbc:snowflake://h", "jdbc:redshift://h/db"])
+def test_truncate_is_refused_where_spark_would_drop_the_table(spark, url):
+    rows = spark.createDataFrame([("1",)], "id string")
+    # No such database is there: nothing connects before the refusal.
+    with pytest.raises(ValueError, match="no TRUNCATE"):
+        load_target(rows, url, "t", "id", truncate=True)

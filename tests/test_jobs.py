@@ -56,9 +56,9 @@ def test_sqlite_job(spark, files, capsys):
     assert run(spark, files, *target, "--compare-columns", "note")[0]["value_mismatches"] == 0
     out = ["--report-file", str(files / "again")]
     run(spark, files, *target, *out)
-    with pytest.raises(Exception, match="(?i)already.exists"):
-        run(spark, files, *target, *out)
-    assert run(spark, files, *target, *out, "--overwrite")[0]["value_mismatches"] == 1
+    with pytest.raises(FileExistsError, match="already exists"):
+        run(spark, files, *target, *out, "--keep-report")
+    assert run(spark, files, *target, *out)[0]["value_mismatches"] == 1  # replaced
     assert run(spark, files, *target, "--compare-columns", "")[0]["value_mismatches"] == 1
     assert run(spark, files, *target, "--where", "own = 1")[0]["extra_in_target"] == 0
     with pytest.raises(ValueError, match="lacks compare"):
@@ -96,12 +96,65 @@ def test_job_flags_that_do_not_fit(spark, files):
             run(spark, files, *flags)
 
 
+def test_sqlite_job_reads_keys_and_compared_columns_alone(spark, files):
+    for compare, columns in ((None, {"id", "amount", "note"}), ("note", {"id", "note"})):
+        flags = ["--source-file", str(files / "source.csv"), "--delimiter", ";", "--key-columns", "id", "--table", "target_table"]
+        flags += ["--sqlite-db", str(files / "target.db")] + (["--compare-columns", compare] if compare else [])
+        scanned = reconcile.plan(spark, reconcile.parser().parse_args(flags))._target.columns
+        assert set(scanned) == columns
+
+
+def test_jdbc_job_reads_in_parallel(spark, files):
+    url = f"jdbc:derby:memory:job{uuid.uuid4().hex};create=true"
+    rows = [(i, f"k{i}", float(i)) for i in range(40)]
+    spark.createDataFrame(rows, "ID int, NAME string, AMOUNT double").write.option("createTableColumnTypes", "NAME VARCHAR(20)").jdbc(url, "t")
+    (files / "named.csv").write_text("id;name;amount\n" + "".join(f"{i};k{i};{float(i)}\n" for i in range(40)))
+
+    def target(*flags):
+        common = ["--source-file", str(files / "named.csv"), "--delimiter", ";", "--jdbc-url", url, "--table", "t"]
+        return reconcile.plan(spark, reconcile.parser().parse_args([*common, *flags]))._target
+
+    assert target("--key-columns", "id", "--partitions", "4").rdd.getNumPartitions() == 4
+    with pytest.raises(ValueError, match="--predicate"):
+        target("--key-columns", "name")
+    assert target("--key-columns", "name", "--single-read").rdd.getNumPartitions() == 1
+    halves = target("--key-columns", "name", "--predicate", "ID < 20", "--predicate", "ID >= 20")
+    assert halves.rdd.getNumPartitions() == 2 and halves.count() == 40
+
+
+def test_jobs_size_their_shuffles(spark, files):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    target = ["--sqlite-db", str(files / "target.db"), "--table", "target_table"]
+    try:
+        run(spark, files, *target, "--input-bytes", str(1 << 40))
+        assert spark.conf.get(setting) == str(-(-(1 << 40) // (200 << 20)))
+        run(spark, files, *target)
+        assert spark.conf.get(setting) == "200"
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_staged_lines_are_deleted(spark, files):
+    from pathlib import Path
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("evenkeel-*"))
+    target = ["--sqlite-db", str(files / "target.db"), "--table", "target_table"]
+    run(spark, files, *target)
+    (files / "source.csv").write_text("id;note\n1;x\n 1;y\n")
+    with pytest.raises(DuplicateKeyError):
+        run(spark, files, *target)
+    assert set(shared.glob("evenkeel-*")) == before
+
+
 def test_load_csvs_job(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"{i}.csv").write_text(f"id,name,amount,category\n{i},a,1.5,x\nbad,b,1,y\n{i}\n")
     database = f"db_{uuid.uuid4().hex}"
     for extra in ([], ["--partitions", "2"]):
-        load_csvs.main(["--csv", f"{tmp_path}/*.csv", "--database", database, *extra], spark)
+        schema = "id INT, name STRING, amount DOUBLE, category STRING"
+        flags = ["--database", database, "--table", "sales_csv", "--schema", schema]
+        load_csvs.main(["--csv", f"{tmp_path}/*.csv", *flags, *extra], spark)
     table = spark.table(f"{database}.sales_csv")
     assert sorted(row.id for row in table.collect()) == [0, 0, 1, 1, 2, 2]
     assert table.dtypes == [("id", "int"), ("name", "string"), ("amount", "double"), ("category", "string")]

@@ -135,7 +135,7 @@ def test_repeated_keys_fail_on_either_side(spark, check, action):
     bad = table(spark, [("1", "a"), (" 1", "b"), ("2", "b")], "id string, v string")
     for source, target, side in ((bad, good, "source"), (good, bad, "target")):
         result = reconcile(source, target, "id", unique_check=check)
-        with pytest.raises(PySparkException, match=rf"Duplicate key found in {side}: \(1\)"):
+        with pytest.raises(PySparkException, match=rf"A key repeats in {side}: \(1\)"):
             getattr(result, action)().collect()
 
 
@@ -143,7 +143,7 @@ def test_repeated_keys_fail_on_either_side(spark, check, action):
 def test_blank_and_null_keys_are_one_key(spark, check):
     source = table(spark, [(None, "a"), (" ", "b")], "id string, v string")
     target = table(spark, [("1", "a")], "id string, v string")
-    with pytest.raises(PySparkException, match=r"Duplicate key found in source: \(\)"):
+    with pytest.raises(PySparkException, match=r"A key repeats in source: \(\)"):
         reconcile(source, target, "id", unique_check=check).report().collect()
     one = table(spark, [(None, "a")], "id string, v string")
     blank = table(spark, [(" ", "a")], "id string, v string")
@@ -201,7 +201,7 @@ def test_write_of_equal_and_of_empty_tables(spark, tmp_path, ordered):
 def test_write_raises_duplicate_key_error(spark, tmp_path):
     rows = table(spark, [(1, "a"), (1, "b")], "id int, v string")
     for check in CHECKS:
-        with pytest.raises(DuplicateKeyError, match=r"^Duplicate key found in source: \(1\)$"):
+        with pytest.raises(DuplicateKeyError, match=r"^A key repeats in source: \(1\)$"):
             reconcile(rows, rows, "id", unique_check=check).write(str(tmp_path / check))
 
 

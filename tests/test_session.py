@@ -6,6 +6,7 @@ INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def test_session_sizes_shuffles_by_input(spark):
+    spark.conf.unset(INITIAL)  # jobs of other tests set it
     assert session().sparkContext is spark.sparkContext
     assert spark.conf.get(INITIAL, None) is None
     try:
