@@ -32,6 +32,7 @@ FLUSH_TEXTS = 60_000
 TEXTS_IN_SLICE = 16_384
 FOLDS, HELD_OUT = 7, 2
 ROUNDS = 2
+PLAIN_CHARS = 30  # of a word: products of as many chances are far from the smallest number
 SMOOTHING = 0.1
 
 
@@ -49,7 +50,9 @@ class Lattice:
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
+        self.chances = {piece: 10**score for piece, score in scores.items()}
+        # Bytes are no pieces of text, and are looked up by their own names alone.
+        self.longest = max((len(piece) for piece in scores if not piece.startswith("<0x")), default=1)
 
     def word(self, word: str) -> float:
         """Forward recursion: the logarithm of the sum over all segmentations.
@@ -77,6 +80,9 @@ class Lattice:
         """Adds how often each piece is used, over all segmentations by their probability."""
         text, scores, longest = MARK + word, self.scores, self.longest
         n = len(text)
+        if n <= PLAIN_CHARS:
+            self._expected_plainly(text, times, into)
+            return
         edges: list[list[tuple[int, str, float]]] = [[] for _ in range(n + 1)]  # by their end
         ahead: list[float | None] = [0.0] + [None] * n
         for j in range(1, n + 1):
@@ -100,6 +106,40 @@ class Lattice:
                     into[part] = into.get(part, 0.0) + share
 
 
+    def _expected_plainly(self, text: str, times: int, into: dict[str, float]) -> None:
+        """The same without logarithms, for words too short to leave the range of numbers."""
+        chances, longest, n = self.chances, self.longest, len(text)
+        ahead = [1.0] + [0.0] * n
+        edges = []
+        for i in range(n):
+            here = ahead[i]
+            if not here:
+                continue
+            for j in range(i + 1, min(n, i + longest) + 1):
+                piece = text[i:j]
+                chance = chances.get(piece)
+                if chance is not None:
+                    ahead[j] += here * chance
+                    edges.append((i, j, piece, chance))
+            if text[i] not in chances:
+                chance = 1.0
+                parts = [f"<0x{b:02X}>" for b in text[i].encode("utf-8", "surrogatepass")]
+                for part in parts:
+                    chance *= chances[part]
+                ahead[i + 1] += here * chance
+                edges.append((i, i + 1, " ".join(parts), chance))
+        behind = [0.0] * n + [times / ahead[n]]
+        for i, j, piece, chance in reversed(edges):
+            share = chance * behind[j]
+            behind[i] += share
+            share *= ahead[i]
+            if piece[0] == "<" and " " in piece:
+                for part in piece.split(" "):
+                    into[part] = into.get(part, 0.0) + share
+            else:
+                into[piece] = into.get(piece, 0.0) + share
+
+
 def _log_sum(terms: list[float]) -> float:
     if len(terms) == 1:
         return terms[0]
