@@ -209,5 +209,5 @@ def test_write_raises_duplicate_key_error(spark, tmp_path):
 def test_a_hot_repeated_key_fails_without_pairing_its_rows(spark, check):
     # a third of 300,000 rows per side share a key: paired, 10 billion rows
     rows = spark.range(300_000).selectExpr("IF(id % 3 = 0, NULL, id) AS k", "id AS v")
-    with pytest.raises(PySparkException, match="Duplicate key"):
+    with pytest.raises(PySparkException, match="A key repeats"):
         reconcile(rows, rows, "k", unique_check=check).report().count()
