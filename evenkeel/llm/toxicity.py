@@ -47,7 +47,7 @@ PREFIXES = (3, 4, 5, 6)
 DEALT = 3  # voters for each kind of lexicon entry
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
 MOST_FEATURES = 4096
-LEAST_TEXTS, LEAST_ODDS = 3, 3.0
+LEAST_ODDS = 2.0  # logarithm, with two standard errors taken off
 LABEL_ACCURACY = 0.95
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -246,10 +246,12 @@ def train(
     totals = {r.toxic: r.n for r in sample.dropDuplicates(["text"]).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     learnt: list[str] = []
     if totals.get(0) and totals.get(1):
-        odds = F.log((F.col("toxic") + 0.5) / (totals[1] + 1)) - F.log((F.col("clean") + 0.5) / (totals[0] + 1))
+        # Cautious rates: a long clean text has many words, and some are rare by chance.
+        low = F.col("toxic") - 2 * F.sqrt("toxic")
+        high = F.col("clean") + 2 * F.sqrt("clean") + 2
+        odds = F.when(low > 0, F.log(low / totals[1]) - F.log(high / totals[0]))
         ranked = (
             _entry_counts(sample)
-            .where(F.col("toxic") >= LEAST_TEXTS)
             .withColumn("odds", odds)
             .where(F.col("odds") >= LEAST_ODDS)
             .orderBy(F.desc(F.col("toxic") * F.col("odds")), "entry")
