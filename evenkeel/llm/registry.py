@@ -16,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_ngram_join": q_ngram_join.ORACLE,
     "op6_quality": q_quality.ORACLE,
     "op9_exact_dedup": q_exact_dedup.ORACLE,
 }
