@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import fold, texts_of
+from evenkeel.llm.common import fold, stored, texts_of
 
 # Plain insults, by language.
 SEED_WORDS = (
@@ -241,8 +241,7 @@ def train(
     spark = docs.sparkSession
     named = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     sample, share = _sample(named, labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")), (most_clean, most_toxic))
-
-    sample = sample.coalesce(64) if sample.rdd.getNumPartitions() > 64 else sample
+    sample = stored(sample, "sample")
     totals = {r.toxic: r.n for r in sample.dropDuplicates(["text"]).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     learnt: list[str] = []
     if totals.get(0) and totals.get(1):
