@@ -49,6 +49,7 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
 MOST_FEATURES = 4096
 LEAST_ODDS = 2.0  # logarithm, with two standard errors taken off
 LABEL_ACCURACY = 0.95
+KNOWN_WORDS = 100_000  # looked-up words that a worker holds, for each of its models
 WORD = re.compile(r"[^\W\d_]+")
 
 VOTERS = ["seed", *PATTERNS, *[f"{kind}-{i}" for kind in ("word", *PREFIXES) for i in range(DEALT)]]
@@ -87,7 +88,7 @@ class Lexicon:
     def of(self, text: str) -> list[int]:
         found: set[int] = set()
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         for word in set(WORD.findall(text.lower())):
             places = known.get(word)
