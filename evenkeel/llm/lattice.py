@@ -32,7 +32,8 @@ FLUSH_TEXTS = 60_000
 TEXTS_IN_SLICE = 16_384
 FOLDS, HELD_OUT = 7, 2
 ROUNDS = 2
-PLAIN_CHARS = 30  # of a word: products of as many chances are far from the smallest number
+PLAIN_CHARS = 30  # of a word: longer ones are seldom worth the try without logarithms
+LEAST_CHANCE = 1e-250  # of a word without logarithms; what is lost below 1e-308 is no part of it
 SMOOTHING = 0.1
 
 
@@ -80,8 +81,7 @@ class Lattice:
         """Adds how often each piece is used, over all segmentations by their probability."""
         text, scores, longest = MARK + word, self.scores, self.longest
         n = len(text)
-        if n <= PLAIN_CHARS:
-            self._expected_plainly(text, times, into)
+        if n <= PLAIN_CHARS and self._expected_plainly(text, times, into):
             return
         edges: list[list[tuple[int, str, float]]] = [[] for _ in range(n + 1)]  # by their end
         ahead: list[float | None] = [0.0] + [None] * n
@@ -106,8 +106,8 @@ class Lattice:
                     into[part] = into.get(part, 0.0) + share
 
 
-    def _expected_plainly(self, text: str, times: int, into: dict[str, float]) -> None:
-        """The same without logarithms, for words too short to leave the range of numbers."""
+    def _expected_plainly(self, text: str, times: int, into: dict[str, float]) -> bool:
+        """The same without logarithms. False, with nothing added, if the word's chance is too small for that."""
         chances, longest, n = self.chances, self.longest, len(text)
         ahead = [1.0] + [0.0] * n
         edges = []
@@ -128,6 +128,8 @@ class Lattice:
                     chance *= chances[part]
                 ahead[i + 1] += here * chance
                 edges.append((i, i + 1, " ".join(parts), chance))
+        if ahead[n] < LEAST_CHANCE:
+            return False
         behind = [0.0] * n + [times / ahead[n]]
         for i, j, piece, chance in reversed(edges):
             share = chance * behind[j]
@@ -138,6 +140,7 @@ class Lattice:
                     into[part] = into.get(part, 0.0) + share
             else:
                 into[piece] = into.get(piece, 0.0) + share
+        return True
 
 
 def _log_sum(terms: list[float]) -> float:

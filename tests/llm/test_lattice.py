@@ -66,6 +66,20 @@ def test_all_segmentations():
         assert math.isclose(chars, 5 * len(known)) and math.isclose(fallback, 5 * sum(len(c.encode()) for c in word if c not in scores), abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("word", ["🙂" * 29, "🙂" * 5 + "a" + "漢" * 3, "漢" * 9 + "🙂", "🙂" * 7, "a🙂b" * 5])
+def test_words_of_unknown_characters(monkeypatch, word):
+    # Bytes seen once among 1e10 pieces: 28 of them are less than the smallest number.
+    scores = {"▁": -1.0, "▁a": -0.5, "a": -0.7, "b": -1.1, "": -2.0, **{f"<0x{i:02X}>": -10.0 - i / 1000 for i in range(256)}}
+    used, expected = {}, {}
+    op.Lattice(scores).expected(word, 3, used)
+    monkeypatch.setattr(op, "PLAIN_CHARS", 0)
+    op.Lattice(scores).expected(word, 3, expected)
+    assert used.keys() == expected.keys()
+    assert all(math.isclose(used[k], expected[k], rel_tol=1e-9, abs_tol=1e-12) for k in used)
+    fallback = sum(n for piece, n in used.items() if piece.startswith("<0x"))
+    assert math.isclose(fallback, 3 * sum(len(c.encode()) for c in word if c not in scores), rel_tol=1e-9)
+
+
 @pytest.mark.parametrize("flush", [3, op.FLUSH_TEXTS])
 def test_rows_of_all_kinds(spark, monkeypatch, flush):
     monkeypatch.setattr(op, "FLUSH_TEXTS", flush)
