@@ -12,18 +12,16 @@ blocks in step. Whole texts are parsed, whatever their length.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CHARS = 40_000  # of sample text for each language ...
-TOTAL_CHARS = 240_000  # ... and for all of them, so that many languages get less each
+CHARS = 40_000  # of sample text for each language, however many there are
 TEXTS = 128  # sampled texts for each language
 SHORT = 8_000  # characters of a text that the sample prefers
-SYMBOLS = 95
+DENSE = 32_000_000  # places in dense tables, for all languages together; which table is used changes no result
 BLOCK = 256
 AT_ONCE = 2_000_000  # characters parsed in step
 UNDETERMINED = "und"
@@ -37,21 +35,78 @@ def plain(text: str) -> str:
 
 
 class Alphabet:
-    """Numbers 1.. for the commonest characters of the samples; all others are 0."""
+    """Numbers 1.. for all characters of the samples; others are 0."""
 
     def __init__(self, samples: list[str]):
-        counts = Counter(c for sample in samples for c in sample)
-        common = sorted(counts, key=lambda c: (-counts[c], c))[:SYMBOLS]
-        self.size = len(common) + 1
-        self.number = np.zeros(0x110000, np.uint8)
-        self.number[[ord(c) for c in common]] = np.arange(1, self.size)
+        known = sorted(set().union(*samples))
+        self.size = len(known) + 1
+        self.number = np.zeros(0x110000, np.min_scalar_type(self.size))
+        self.number[[ord(c) for c in known]] = np.arange(1, self.size)
 
     def of(self, text: str) -> np.ndarray:
         return self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
 
 
-def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
-    """Transitions (state, symbol) -> state of all substrings that have no symbol 0; -1 where there is none.
+class Dense:
+    """(state, symbol) -> state in a table of all pairs."""
+
+    def __init__(self, edges_of: list[dict[int, int]], size: int):
+        table = np.full((len(edges_of), size), -1, np.int32)
+        for state, edges in enumerate(edges_of):
+            if edges:
+                table[state, list(edges)] = list(edges.values())
+        self.flat, self.size, self.root = table.ravel(), size, np.maximum(table[0], 0)
+
+    def of(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Next states; -1 where there is none."""
+        return self.flat[states * self.size + symbols]
+
+
+class Hashed:
+    """The same in a hash table with open places; memory by edges, not by pairs."""
+
+    def __init__(self, edges_of: list[dict[int, int]], size: int):
+        self.size = size
+        counts = np.array([len(edges) for edges in edges_of], np.int64)
+        symbols = np.fromiter((c for edges in edges_of for c in edges), np.int64, int(counts.sum()))
+        targets = np.fromiter((t for edges in edges_of for t in edges.values()), np.int32, len(symbols))
+        keys = np.repeat(np.arange(len(edges_of)), counts) * size + symbols
+        bits = max(1, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.targets = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        places = self._place(keys)
+        while len(keys):
+            free = self.keys[places] < 0
+            self.keys[places[free]] = keys[free]  # of several, one stays
+            own = self.keys[places] == keys
+            self.targets[places[own]] = targets[own]
+            keys, targets, places = keys[~own], targets[~own], (places[~own] + 1) & self.mask
+        self.root = np.maximum(self.of(np.zeros(size, np.int64), np.arange(size)), 0)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def of(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Next states; -1 where there is none."""
+        keys = states * self.size + symbols
+        places = self._place(keys)
+        there = self.keys[places]
+        out = self.targets[places]
+        wrong = np.flatnonzero(there != keys)
+        out[wrong] = -1
+        # Places that another edge holds: the next one, until the edge or an open place.
+        wrong = wrong[there[wrong] >= 0]
+        while len(wrong):
+            places[wrong] = (places[wrong] + 1) & self.mask
+            there = self.keys[places[wrong]]
+            right = there == keys[wrong]
+            out[wrong[right]] = self.targets[places[wrong[right]]]
+            wrong = wrong[~right & (there >= 0)]
+        return out
+
+
+def suffix_automaton(symbols: np.ndarray, size: int, room: int = DENSE) -> Dense | Hashed:
+    """Transitions of all substrings that have no symbol 0; in a dense table of at most ``room`` places, else hashed.
 
     State 0 is the start. Symbol 0 separates texts: what follows it starts anew.
     """
@@ -82,11 +137,7 @@ def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
             other = next_of[at][symbol]
             link[state] = other if length[other] == length[at] + 1 else _split(next_of, link, length, at, symbol, other)
         last = state
-    table = np.full((len(next_of), size), -1, np.int32)
-    for state, edges in enumerate(next_of):
-        if edges:
-            table[state, list(edges)] = list(edges.values())
-    return table
+    return (Dense if len(next_of) * size <= room else Hashed)(next_of, size)
 
 
 def _split(next_of, link, length, at, symbol, other) -> int:
@@ -109,10 +160,17 @@ class Parser:
         self.names = sorted(samples)
         texts = {name: [plain(t) for t in samples[name]] for name in self.names}
         self.alphabet = Alphabet([t for name in self.names for t in texts[name]])
-        self.tables, self.bits = [], []
+        self.tables, self.bits, self.own = [], [], []
+        room = DENSE
         for name in self.names:
             joined = np.concatenate([np.append(self.alphabet.of(t), 0) for t in texts[name]] or [np.zeros(1, np.uint8)])
-            self.tables.append(suffix_automaton(joined, self.alphabet.size))
+            # A language's automaton has the symbols of its own sample, numbered anew.
+            own = np.unique(joined[joined > 0])
+            self.own.append(np.zeros(self.alphabet.size, np.min_scalar_type(len(own))))
+            self.own[-1][own] = np.arange(1, len(own) + 1)
+            self.tables.append(suffix_automaton(self.own[-1][joined], len(own) + 1, room))
+            if isinstance(self.tables[-1], Dense):
+                room -= len(self.tables[-1].flat)
             self.bits.append(np.log2(max(2, len(joined))))
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -129,16 +187,16 @@ class Parser:
         active = np.searchsorted(-size, -np.arange(BLOCK), side="left")  # blocks longer than each step
         out = np.zeros((len(texts), len(self.names)), np.int64)
         for k, table in enumerate(self.tables):
-            flat, root, width = table.ravel(), np.maximum(table[0], 0), table.shape[1]
+            symbols = self.own[k][joined]
             state = np.zeros(len(owner), np.int64)
             count = np.zeros(len(owner), np.int64)
             for step in range(int(size[0]) if len(size) else 0):
                 n = active[step]
-                symbol = joined[first[:n] + step]
-                then = flat[state[:n] * width + symbol]
+                symbol = symbols[first[:n] + step]
+                then = table.of(state[:n], symbol)
                 ended = then < 0
                 count[:n] += ended
-                state[:n] = np.where(ended, root[symbol], then)
+                state[:n] = np.where(ended, table.root[symbol], then)
             count += state > 0
             out[:, k] = np.bincount(owner, count, len(texts)).astype(np.int64)
         return out
@@ -173,12 +231,12 @@ class Parser:
 
 
 def sample_texts(
-    docs: DataFrame, text_column: str, lang_column: str, texts: int = TEXTS, chars: int = CHARS, total: int = TOTAL_CHARS
+    docs: DataFrame, text_column: str, lang_column: str, texts: int = TEXTS, chars: int = CHARS
 ) -> dict[str, list[str]]:
-    """Labelled texts of each language, at most ``chars`` characters (``total`` over all languages).
+    """Labelled texts of each language, at most ``chars`` characters of each.
 
     Different texts in the order of their hashes, those up to ``SHORT`` characters first.
-    Only a language without any text within its share has one cut to it.
+    Only a language without any text within that bound has one cut to it.
     """
     named = docs.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text")).where(
         "lang IS NOT NULL AND text RLIKE '[^ ]'"
@@ -188,24 +246,22 @@ def sample_texts(
     # Spark keeps the first rows of each task before it brings a language together.
     first = marked.select("lang", "h", "long").distinct().withColumn("rank", F.row_number().over(order))
     chosen = first.where(F.col("rank") <= texts).select("lang", "h", "rank")
-    languages = chosen.select("lang").distinct().count()
-    share = min(chars, total // max(1, languages))
     # ``texts`` rows of two numbers and a name for each language.
     rows = (
         marked.join(F.broadcast(chosen), ["lang", "h"])
         .groupBy("lang", "rank")
-        .agg(F.min(F.substring("text", 1, share + 1)).alias("text"))
+        .agg(F.min(F.substring("text", 1, chars + 1)).alias("text"))
         .collect()
     )
     out: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.rank)):
         own = out.setdefault(row.lang, [])
-        room = share - sum(map(len, own))
+        room = chars - sum(map(len, own))
         if len(row.text) <= room:
             own.append(row.text)
     for row in sorted(rows, key=lambda r: (r.lang, r.rank)):
         if not out[row.lang]:
-            out[row.lang].append(row.text[:share])
+            out[row.lang].append(row.text[:chars])
     return out
 
 
@@ -219,7 +275,7 @@ def with_language(docs: DataFrame, samples: dict[str, list[str]], text_column: s
     if ``samples`` is empty. Languages that tie: the first by name. Every row gives one
     row. Columns of ``docs`` with these two names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(samples)  # at most TOTAL_CHARS characters
+    shared = docs.sparkSession.sparkContext.broadcast(samples)  # at most CHARS characters for each language
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:

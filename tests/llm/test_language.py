@@ -77,6 +77,41 @@ def test_samples_are_bounded(spark):
     assert sample_texts(docs.limit(0), "text", "lang") == {}
 
 
+def test_many_alphabets_side_by_side(spark):
+    said = {
+        "ar": "ذهب الولد إلى المدرسة في الصباح وكان الجو جميلا ثم عاد إلى البيت مع أصدقائه في المساء",
+        "el": "το παιδί πήγε στο σχολείο το πρωί και ο καιρός ήταν καλός μετά γύρισε στο σπίτι με τους φίλους του",
+        "en": "the child went to school in the morning and the weather was fine then it came home with its friends",
+        "ja": "子供は朝に学校へ行きました。天気が良かったです。それから友達と一緒に家へ帰りました",
+        "ru": "ребёнок утром пошёл в школу и погода была хорошая потом он вернулся домой с друзьями",
+        "zh": "孩子早上去学校天气很好后来他和朋友们一起回家他们在路上看见了一只小狗",
+    }
+    # The Latin samples hold most characters, and one language of few has the shortest sample.
+    samples = {name: [text] * (20 if name == "en" else 1) for name, text in said.items()} | {"xx": ["abcdefgh"]}
+    samples["zz"] = ["".join(map(chr, range(0x1E00, 0x1E00 + 120))) * 9]
+    texts = {
+        "ar": "كان الولد في البيت", "el": "ο καιρός ήταν καλός στο σπίτι", "en": "the weather was fine at home",
+        "ja": "友達は学校へ帰りました", "ru": "погода утром была хорошая", "zh": "朋友们在学校看见小狗",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "lang string, text string")
+    assert {r.lang: r.lang_pred for r in with_language(docs, samples).collect()} == {name: name for name in texts}
+
+
+def test_dense_and_hashed_tables_tell_the_same(monkeypatch):
+    samples = {"a": ["abracadabra abab", "cab dab"], "b": ["bcd bcd bcdd", "a" * 30], "c": ["孩子早上去学校", "xyz"]}
+    texts = ["abra cab", "bcd xyz 学校 早上", "孩子 q 漢"]
+    dense = Parser(samples).entropies(texts)
+    monkeypatch.setattr("evenkeel.llm.language.DENSE", 0)
+    assert (Parser(samples).entropies(texts) == dense).all()
+
+
+def test_every_language_has_a_sample_of_its_own_size(spark):
+    rows = [(f"l{k}", f"{chr(97 + k % 26)}{k} text number {i} ") for k in range(30) for i in range(128)]
+    docs = spark.createDataFrame(rows, "lang string, text string").selectExpr("lang", "repeat(text, 10) AS text")
+    samples = sample_texts(docs, "text", "lang")
+    assert len(samples) == 30 and all(sum(map(len, own)) > 16_000 for own in samples.values())
+
+
 @pytest.fixture(scope="module")
 def told(spark):
     return op2_language(spark, f"{DATA}/sf0.01").collect()
