@@ -45,13 +45,14 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*|your[-_
 THRESHOLD = 4.0
 MIN_LITERAL = 6
 
+# A comment's text is read like any other. An apostrophe within or behind a word opens no string.
 LEXEME = re.compile(
     r"""
-      (?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
+      (?P<string>"(?:[^"\\\n]|\\.)*"|(?:(?<![^\s=:+(\[{,;])|(?<=\b[bfruBFRU]))'(?:[^'\\\n]|\\.)*'(?!\w)|`[^`\n]*`)
     | (?P<name>[A-Za-z_][A-Za-z0-9_]*(?:[.-][A-Za-z_][A-Za-z0-9_]*)*)
     | (?P<op>:=|=>|==|!=|<=|>=|\+=|[=:+])
     | (?P<end>[\n;,{}])
-    | (?P<comment>\#[^\n]*|//[^\n]*)
+    | (?P<comment>\#|//)
     """,
     re.VERBOSE | re.ASCII,
 )
@@ -96,7 +97,10 @@ class Lexer:
         text, at, previous = self.text, 0, None
         while (found := LEXEME.search(text, at)) is not None:
             kind, at = found.lastgroup, found.end()
-            if kind == "op" and found[0] in ("=", ":", ":=", "=>", "+=") and previous is not None:
+            if found[0] == ":" and text.startswith("//", at):
+                # A URL: what follows may hold assignments, but is no value of the scheme.
+                at, previous = at + 2, None
+            elif kind == "op" and found[0] in ("=", ":", ":=", "=>", "+=") and previous is not None:
                 value = self.value(at)
                 if value is not None:
                     whole, start, end = value
@@ -111,7 +115,7 @@ class Lexer:
                     previous = None
             elif kind == "name":
                 # In ``name: Type = value`` the type does not replace the name.
-                typed = previous is not None and text[: found.start()].endswith((": ", ":"))
+                typed = previous is not None and text.endswith((": ", ":"), 0, found.start())
                 previous = previous if typed else found[0]
             elif kind == "string":
                 previous = found[0][1:-1]

@@ -66,6 +66,25 @@ def test_literals_of_sensitive_names(text, expected):
     assert literals(text) == expected
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ('# DB_PWD = "Zx81!kQ9v"', ['"Zx81!kQ9v"']),
+        ('x = 1 // DB_PWD: "Zx81!kQ9v"\n', ['"Zx81!kQ9v"']),
+        ('see http://wiki.local and DB_PWD: "Zx81!kQ9v"', ['"Zx81!kQ9v"']),
+        ('see http://wiki.local, DB_PWD: "Zx81!kQ9v"', ['"Zx81!kQ9v"']),
+        ("see https://wiki.local/?db_pwd=Zx81!kQ9v", ["Zx81!kQ9v"]),
+        ('issue #12: DB_PWD = "Zx81!kQ9v" and // PRIVATE_KEY = "aa02!Qq77" more', ['"Zx81!kQ9v"', '"aa02!Qq77"']),
+        ("don't share DB_PWD=Zx81!kQ9v, it's live", ["Zx81!kQ9v"]),
+        ("the users' DB_PWD=Zx81!kQ9v, and the others'", ["Zx81!kQ9v"]),
+        ("{'db_pwd':'Zx81!kQ9v', 'x': b'y'}", ["'Zx81!kQ9v'"]),
+    ],
+)
+def test_behind_comment_marks_urls_and_apostrophes(text, expected):
+    assert literals(text) == expected
+    assert literals("pad " * 1000 + text) == expected
+
+
 def test_names():
     assert name_score("dbPassword") == name_score("DB_PASSWORD") > 0
     assert name_score("colour") == name_score("password_file") == 0
