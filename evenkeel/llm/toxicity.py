@@ -3,12 +3,13 @@
 1. Voters. Words, and beginnings of words of 3 to 6 letters, that labelled toxic texts
    hold far more often than clean ones make lexicons, dealt to several voters for each
    kind; fixed lists and patterns are voters, too. A voter fires on a text or does not.
+   The entries are counted over all labelled texts.
 2. Label model. All texts are counted by which voters fire together. From these counts
    alone, expectation maximisation estimates how often each voter fires on toxic and on
    clean texts; the labelled sample only gives the start. Voters that still agree beyond
    what the class explains are correlated, and share one voice between them.
 3. Classifier. A logistic regression over the lexicon entries learns the posterior labels
-   of a bounded sample. Its prior mean is the fixed list, so it is defined without labels.
+   of a bounded sample, weighted by the true share of each class. Its prior mean is the fixed list, so it is defined without labels.
 
 Texts, votes and counts are Spark's; the driver sees the lexicon (``MOST_FEATURES``), the
 counts by vote pattern (at most 2 ** voters) and the sample's entries.
@@ -49,6 +50,8 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
 MOST_FEATURES = 4096
 LEAST_ODDS = 2.0  # logarithm, with two standard errors taken off
 LABEL_ACCURACY = 0.95
+LEAST_TOXIC = 5  # texts: with fewer, two standard errors leave nothing
+FLUSH_ENTRIES = 400_000
 KNOWN_WORDS = 100_000  # looked-up words that a worker holds, for each of its models
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -193,9 +196,12 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, most: tuple[int, int]) -> tuple[DataFrame, float]:
+def _one_label(labels: DataFrame) -> DataFrame:
+    return labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def _sample(docs: DataFrame, one: DataFrame, most: tuple[int, int]) -> tuple[DataFrame, float]:
     """Texts of at most ``most`` clean and toxic labelled rows, those of the smallest hashes; toxic share of all."""
-    one = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r.toxic: r.n for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     parts = [
@@ -206,22 +212,34 @@ def _sample(docs: DataFrame, labels: DataFrame, most: tuple[int, int]) -> tuple[
     return docs.join(chosen, "doc_id").select("text", "toxic"), share
 
 
-def _entry_counts(sample: DataFrame) -> DataFrame:
+def _entry_counts(labelled: DataFrame) -> DataFrame:
+    """(entry, clean, toxic): texts of (text, toxic) that hold each entry; the empty entry is in all texts."""
+    schema = pa.schema([("entry", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def emitted() -> Iterator[pa.RecordBatch]:
+            names = list(by[0].keys() | by[1].keys())
+            for i in range(0, len(names), 20_000):
+                part = names[i : i + 20_000]
+                yield pa.RecordBatch.from_pydict(
+                    {"entry": part, "clean": [by[0][e] for e in part], "toxic": [by[1][e] for e in part]}, schema=schema
+                )
+            by[0].clear()
+            by[1].clear()
+
         for batch in batches:
             for text, toxic in zip(texts_of(batch.column("text")), batch.column("toxic").to_pylist(), strict=True):
                 by[toxic].update(entries(text))
-        names = list(by[0].keys() | by[1].keys())
-        for i in range(0, len(names), 20_000):
-            part = names[i : i + 20_000]
-            yield pa.RecordBatch.from_pydict(
-                {"entry": part, "clean": [by[0][e] for e in part], "toxic": [by[1][e] for e in part]},
-                schema=pa.schema([("entry", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())]),
-            )
-
-    # Repeated texts count once: they are one witness.
-    counted = sample.dropDuplicates(["text"]).mapInArrow(count, "entry string, clean long, toxic long")
+                by[toxic][""] += 1
+                if len(by[0]) + len(by[1]) > FLUSH_ENTRIES:
+                    yield from emitted()
+        yield from emitted()
+
+    # Repeated texts count once: they are one witness, a toxic one if any of them is.
+    once = labelled.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    counted = once.mapInArrow(count, "entry string, clean long, toxic long")
     return counted.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
@@ -241,17 +259,20 @@ def train(
     """
     spark = docs.sparkSession
     named = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    sample, share = _sample(named, labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")), (most_clean, most_toxic))
+    one = _one_label(labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")))
+    sample, share = _sample(named, one, (most_clean, most_toxic))
     sample = stored(sample, "sample")
-    totals = {r.toxic: r.n for r in sample.dropDuplicates(["text"]).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    counts = _entry_counts(named.join(one, "doc_id").select("text", "toxic"))
+    counts = stored(counts.where((F.col("toxic") >= LEAST_TOXIC) | (F.col("entry") == "")), "entries")
+    totals = counts.where("entry = ''").first()
     learnt: list[str] = []
-    if totals.get(0) and totals.get(1):
+    if totals and totals.clean and totals.toxic:
         # Cautious rates: a long clean text has many words, and some are rare by chance.
         low = F.col("toxic") - 2 * F.sqrt("toxic")
         high = F.col("clean") + 2 * F.sqrt("clean") + 2
-        odds = F.when(low > 0, F.log(low / totals[1]) - F.log(high / totals[0]))
+        odds = F.when(low > 0, F.log(low / totals.toxic) - F.log(high / totals.clean))
         ranked = (
-            _entry_counts(sample)
+            counts.where("entry <> ''")
             .withColumn("odds", odds)
             .where(F.col("odds") >= LEAST_ODDS)
             .orderBy(F.desc(F.col("toxic") * F.col("odds")), "entry")
@@ -300,7 +321,10 @@ def train(
         odds = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY)) * np.where(gold == 1, 1, -1)
         p = model.posterior(fired)
         p = 1 / (1 + (1 - p) / np.maximum(p, 1e-12) * np.exp(-odds))
-        weights = fit_linear([r.entries for r in rows], p, np.ones(len(rows)), start)
+        # Each class weighs as in all labels, whatever its part of the sample.
+        part = gold.mean()
+        weight = np.where(gold == 1, share / max(part, 1e-12), (1 - share) / max(1 - part, 1e-12))
+        weights = fit_linear([r.entries for r in rows], p, weight, start)
     return Model(lexicon, weights, model)
 
 

@@ -60,6 +60,18 @@ def test_learns_words_that_no_list_has(spark):
     assert len(VOTERS) == len(model.labels.toxic)
 
 
+def test_lexicon_counts_all_labelled_texts(spark, monkeypatch):
+    monkeypatch.setattr("evenkeel.llm.toxicity.FLUSH_ENTRIES", 50)
+    # 24 of 600 toxic texts have a rare word and no other mark; the sample has a third of them.
+    rows = [(i, f"plain text number {i} of many " + ("calm" if i % 3 else "grumbelung" if i % 75 else "zorfelix")) for i in range(1800)]
+    docs = spark.createDataFrame([*rows, (5000, "a zorfelix is here")], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(1800)], "doc_id long, toxic int")
+    model = train(docs, labels, most_toxic=200, most_clean=400)
+    assert "zorfelix" in model.lexicon.place
+    score = {r.doc_id: r.s for r in with_score(docs, model, "s").collect()}
+    assert score[5000] >= 0.5 and all((score[i] >= 0.5) == (i % 3 == 0) for i in range(1800))
+
+
 def test_held_out_texts(spark):
     got = {r.doc_id: r for r in op10_toxicity(spark, f"{DATA}/sf0.01").collect()}
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{DATA}/sf0.01/labels.parquet").collect()}
