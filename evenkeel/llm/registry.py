@@ -1,6 +1,20 @@
 """The queries of this subpackage and their SQL."""
 
-from evenkeel.llm import q_exact_dedup, q_language, q_lattice, q_mixing, q_ngram_join, q_packing, q_quality, q_records, q_secrets, q_toxicity
+from evenkeel.llm import (
+    q_conversations,
+    q_exact_dedup,
+    q_host_reputation,
+    q_language,
+    q_lattice,
+    q_mixing,
+    q_ngram_join,
+    q_packing,
+    q_quality,
+    q_records,
+    q_secrets,
+    q_toxicity,
+    q_whitening,
+)
 
 QUERIES = {
     "op1_ngram_join": q_ngram_join.op1_ngram_join,
@@ -13,10 +27,14 @@ QUERIES = {
     "op8_packing": q_packing.op8_packing,
     "op9_exact_dedup": q_exact_dedup.op9_exact_dedup,
     "op10_toxicity": q_toxicity.op10_toxicity,
+    "op11_whitening": q_whitening.op11_whitening,
+    "op12_conversations": q_conversations.op12_conversations,
+    "op13_url_filter": q_host_reputation.op13_url_filter,
 }
 
 ORACLE_SQL = {
     "op1_ngram_join": q_ngram_join.ORACLE,
     "op6_quality": q_quality.ORACLE,
     "op9_exact_dedup": q_exact_dedup.ORACLE,
+    "op13_url_filter": q_host_reputation.ORACLE,
 }

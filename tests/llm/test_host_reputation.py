@@ -1,0 +1,131 @@
+import re
+import string
+from collections import Counter
+from math import sqrt
+
+import pytest
+from pyspark.sql import functions as F
+
+from evenkeel.llm.host_reputation import LIMIT, STRONGEST, judge_urls, reputations, url_parts, with_levels
+from evenkeel.llm.q_host_reputation import ORACLE, RULES, op13_url_filter
+from oracle import assert_same, duck
+
+DATA = "/root/testdata"
+PAGES = "page_id long, url string, html string, host string, id string, bad int"
+LABELS = "id long, bad int"
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def parts_of(url):
+    at = (url or "").find("://")
+    if at < 0:
+        return "", ""
+    host, rest = re.fullmatch(r"([^/?#]*)(.*)", url[at + 3 :], re.S).groups()
+    return host.translate(LOWER), re.match(r"[^?#]*", rest).group()
+
+
+def rule_of(host, path):
+    fits = [(len(h + p), h + p, v) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+URLS = [
+    None, "", "no address", "://", "http://", "HTTP://WWW.Example.ORG/ES/1", "http://example.org/es/1", "http://a.example.org/es/x?y#z",
+    "http://notexample.org/es/1", "https://example.org/en/1", "https://example.org/en/2", "https://example.org", "https://example.org?x=/es/",
+    "https://example.org#/es/", "http://com/fr/", "http://x.com/fr/1", "http://x.com/de/", "http://x.com/de", "http://user:pw@x.com/de/",
+    "http://x.com:80/de/", "http://x.com./de/", "http://ÄB.net/ä\n/b?c", "x://y://z/w", "http://" + "a" * 300_000 + ".com/fr/" + "b" * 300_000,
+]
+
+
+def test_urls_of_all_kinds(spark):
+    rows = [(i, url, "h", "clash", "clash", 7) for i, url in enumerate(URLS)] + [(None, URLS[6], None, None, None, None), (3, URLS[3], "h", "clash", "x", 7)]
+    pages = spark.createDataFrame(rows, PAGES).repartition(3)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None), (4, 5), (6, 1), (6, 1), (9, 0)], LABELS)
+    got = Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages, labels, RULES).collect())
+    expected = Counter()
+    for page_id, url, *_ in rows:
+        host, path = parts_of(url)
+        rule, verdict = rule_of(host, path)
+        expected[page_id, host, path, rule, verdict or "allow"] += 1
+    assert got == expected
+    assert judge_urls(pages.limit(0), labels, RULES).count() == 0
+    assert {r.verdict for r in judge_urls(pages, labels.limit(0)).collect()} == {"allow"}
+
+
+def test_levels(spark):
+    hosts = ["a.b.example.co.uk", "co.uk", "example.com", "x.example.com:80", "me@x.example.com", "10.0.0.1", "10.0.0.1:80", "localhost", "", "x.com."]
+    got = {r.host: (r.domain, r.suffix) for r in with_levels(spark.createDataFrame([(h,) for h in hosts], "host string")).collect()}
+    assert got == {
+        "a.b.example.co.uk": ("example.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "example.com": ("example.com", "com"),
+        "x.example.com:80": ("example.com", "com"), "me@x.example.com": ("example.com", "com"), "10.0.0.1": ("10.0.0.1", "10.0.0.1"),
+        "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "localhost": ("localhost", "localhost"), "": ("", ""), "x.com.": ("x.com", "com"),
+    }
+
+
+def brute(counts):
+    """{host: (rate, bound)} from {host: (domain, suffix, n, k)}, level by level."""
+    total_n, total_k = (sum(c[i] for c in counts.values()) for i in (2, 3))
+
+    def held(groups):
+        excess = sum(round((((k - n * m) ** 2) / (n * m * (1 - m)) - 1) * 1e6) for n, k, m in groups if n > 1)
+        free = sum(n - 1 for n, _, _ in groups if n > 1)
+        rho = excess / 1e6 / free if free else 0
+        most = min(STRONGEST, total_n + 2)
+        return max(1.0, 1 / rho - 1) if rho > 1 / (most + 1) else most
+
+    def shrunk(key, above):
+        sums = {}
+        for domain, suffix, n, k in counts.values():
+            at = sums.setdefault(key(domain, suffix), [0, 0])
+            at[0] += n
+            at[1] += k
+        s = held([(n, k, above(g)) for g, (n, k) in sums.items()])
+        return {g: (s * above(g) + k) / (s + n) for g, (n, k) in sums.items()}
+
+    suffixes = shrunk(lambda d, s: s, lambda g: (total_k + 1) / (total_n + 2))
+    domains = shrunk(lambda d, s: (d, s), lambda g: suffixes[g[1]])
+    s = held([(n, k, domains[d, x]) for d, x, n, k in counts.values()])
+    out = {}
+    for host, (d, x, n, k) in counts.items():
+        a, b = s * domains[d, x] + k, s * (1 - domains[d, x]) + n - k
+        out[host] = a / (a + b), max(0, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))))
+    return out
+
+
+def test_hosts_shrink_towards_their_relatives(spark):
+    """A third of all pages are of one host; two bad domains, one bad host in a good one."""
+    counts = {}
+    for i in range(40):
+        counts[f"w{i}.spam.net"] = ("spam.net", "net", i % 7, i % 7)
+        counts[f"w{i}.good.net"] = ("good.net", "net", 3 + i % 5, i % 2)
+        counts[f"w{i}.fine.org"] = ("fine.org", "org", 4 + i % 3, 0)
+    counts["bad.good.net"] = ("good.net", "net", 60, 57)
+    counts["one.fine.org"] = ("fine.org", "org", 1, 1)
+    counts["hot.com"] = ("hot.com", "com", 400, 40)
+    pages, labels = [], []
+    for host, (_, _, n, k) in counts.items():
+        for j in range(max(n, 1)):
+            labels += [(len(pages), int(j < k))] if n else []
+            pages.append((len(pages), f"http://{host}/p{j}"))
+    pages = spark.createDataFrame(pages, "page_id long, url string").repartition(4)
+    got = {r.host: r for r in judge_urls(pages, spark.createDataFrame(labels, LABELS)).collect()}
+    expected = brute(counts)
+    for host, (rate, bound) in expected.items():
+        assert got[host].bad_rate == pytest.approx(rate, abs=1e-9) and got[host].bad_bound == pytest.approx(bound, abs=1e-9)
+        assert got[host].verdict == ("block" if bound > LIMIT else "allow")
+    blocked = {h for h in counts if got[h].verdict == "block"}
+    assert {"bad.good.net", "w0.spam.net", "w6.spam.net"} <= blocked  # w0 has no label of its own
+    assert not blocked & {"one.fine.org", "hot.com", "w0.good.net"}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query(spark, sf):
+    assert_same(op13_url_filter(spark, f"{DATA}/{sf}"), duck(f"{DATA}/{sf}"), ORACLE)
+
+
+def test_query_native(spark):
+    plan = op13_url_filter(spark, f"{DATA}/sf0.001")._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    parts = url_parts(F.col("url"))
+    assert spark.createDataFrame([("a://B/c?d",)], "url string").select(*parts).first()[:] == ("b", "/c")
+    assert reputations(spark.createDataFrame([], "host string, labelled long, bad long")).count() == 0
