@@ -18,12 +18,12 @@ from evenkeel.functions import canonical_text
 from evenkeel.functions.names import SHEET_NAME_LENGTH
 from evenkeel.functions.text import WHITE_SPACE
 from evenkeel.operators import duplicate_keys as repeated_keys
-from evenkeel.plans import Reconciliation, reconcile
+from evenkeel.plans import Reconciliation, reconcile, reconcile_by_digest
 from evenkeel.session import allow_local_scratch, scratch_path
 from evenkeel.sinks import (
     append_to_table,
     create_database,
-    load_target,
+    load_exactly_once,
     read_report_csv,
     write_converted,
     write_per_file,
@@ -113,6 +113,11 @@ def recon_report_keys_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders(spark, sf_dir, unique_check="keys_first").report()
 
 
+def recon_report_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _table(spark, sf_dir, "orders")
+    return reconcile_by_digest(source, _derived(source, "orders", ORDERS_TARGET), ORDERS_KEY).report()
+
+
 def recon_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders(spark, sf_dir).missing()
 
@@ -196,6 +201,13 @@ def csv_strict_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_strict(spark, _written_csv(documents, scratch_path(spark, "csv")))
 
 
+def csv_split_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in quoted cells with line breaks, read in several tasks a file."""
+    documents = _table(spark, sf_dir, "documents")
+    documents = documents.selectExpr(*[f"CAST({name} AS STRING) AS {name}" for name in documents.columns])
+    return read_csv_strict(spark, _written_csv(documents, scratch_path(spark, "csv")), split=True)
+
+
 def csv_recon(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     as_text = orders.selectExpr(*[f"CAST({name} AS STRING) AS {name}" for name in orders.columns])
@@ -316,7 +328,7 @@ def db_load_and_recon(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = _table(spark, sf_dir, "supplier")
     typed = supplier.write.option("createTableColumnTypes", "s_name VARCHAR(200)")
     typed.mode("overwrite").jdbc(url, name)  # rows that the load must clear away
-    load_target(supplier, url, name, "s_suppkey", truncate=True)
+    load_exactly_once(supplier, url, name, "s_suppkey", truncate=True)
     target = jdbc_table(spark, url, name, supplier.columns, partition_column="s_suppkey", partitions=8)
     return reconcile(supplier, target, "s_suppkey").summary()
 
@@ -442,9 +454,16 @@ def core_oracle_sql() -> dict[str, str]:
         "supplier": "NULL, NULL, NULL, NULL, NULL, CAST(s_suppkey AS INTEGER), s_name, s_nationkey,"
         " s_acctbal",
     }
+    quoted_documents = f"""
+        SELECT {_sql_text("doc_id")} AS doc_id, {_sql_trimmed("text")} AS text,
+               {_sql_trimmed("lang")} AS lang, {_sql_trimmed("source")} AS source,
+               {_sql_text("n_chars")} AS n_chars
+        FROM documents
+    """
     return {
         "recon_report": report,
         "recon_report_keys_first": report,
+        "recon_report_digest": report,
         "recon_missing": orders + "SELECT key_1 FROM s ANTI JOIN t USING (key_1)",
         "recon_extra": orders + "SELECT key_1 FROM t ANTI JOIN s USING (key_1)",
         "recon_mismatches": orders + " UNION ALL ".join(_sql_cells(1, ORDERS_COMPARE, "target")),
@@ -494,12 +513,8 @@ def core_oracle_sql() -> dict[str, str]:
                    {_sql_text("o_orderdate")} AS o_orderdate, o_orderpriority
             FROM orders
         """,
-        "csv_strict_quoted_lines": f"""
-            SELECT {_sql_text("doc_id")} AS doc_id, {_sql_trimmed("text")} AS text,
-                   {_sql_trimmed("lang")} AS lang, {_sql_trimmed("source")} AS source,
-                   {_sql_text("n_chars")} AS n_chars
-            FROM documents
-        """,
+        "csv_strict_quoted_lines": quoted_documents,
+        "csv_split_quoted_lines": quoted_documents,
         "csv_recon": report,
         "parquet_load": "SELECT * FROM lineitem",
         "parquet_load_repartitioned": "SELECT * FROM lineitem",
@@ -537,6 +552,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for query in (
             recon_report,
             recon_report_keys_first,
+            recon_report_digest,
             recon_missing,
             recon_extra,
             recon_mismatches,
@@ -550,6 +566,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             canonical_texts,
             csv_strict_source,
             csv_strict_quoted_lines,
+            csv_split_quoted_lines,
             csv_recon,
             parquet_load,
             parquet_load_repartitioned,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,3 +52,8 @@ def sheet_name(file_name: Column, length: int | None = None) -> Column:
 def sheet_name_of(file_name: str, length: int | None = None) -> str:
     """The same tag for a name the driver already holds."""
     return file_name.replace(".csv", "")[:length]
+
+
+def as_path(uri: str) -> str:
+    """Reader path of a file URI: decoded, with glob characters escaped."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(uri))

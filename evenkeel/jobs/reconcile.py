@@ -19,6 +19,7 @@ from evenkeel.functions.names import parse_list
 from evenkeel.plans.reconcile import Reconciliation, check_absent, reconcile
 from evenkeel.session import input_size, session, size_shuffles
 from evenkeel.sinks.jdbc import load_target
+from evenkeel.sinks.staged import load_exactly_once
 from evenkeel.sources.csv import read_csv_strict
 from evenkeel.sources.jdbc import jdbc_table, named_as, range_column
 from evenkeel.sources.sqlite import sqlite_table
@@ -52,6 +53,7 @@ def parser() -> argparse.ArgumentParser:
     flags.add_argument("--input-bytes", type=int, help="size of both sides; twice the CSV's by default")
     flags.add_argument("--load-target", action="store_true", help="insert the source rows first")
     flags.add_argument("--truncate-target", action="store_true", help="empty the table before that")
+    flags.add_argument("--direct-load", action="store_true", help="insert without a staging table; a task that runs again may double rows")
     flags.add_argument("--target-label", help="name of the target in the report")
     flags.add_argument("--decimals", default=None, help="text of decimals: plain, stripped, float or oracle")
     return flags
@@ -96,7 +98,8 @@ def plan(spark: SparkSession, args: argparse.Namespace) -> Reconciliation:
     url = args.jdbc_url or f"jdbc:oracle:thin:@//{args.oracle_dsn}"
     properties = _credentials(args)
     if args.load_target:
-        load_target(
+        load = load_target if args.direct_load else load_exactly_once
+        load(
             source,
             url,
             args.table,

@@ -77,6 +77,10 @@ def count_name(prefix: str) -> str:
     return f"{prefix}_n"
 
 
+def order_name(prefix: str) -> str:
+    return f"{prefix}_order"
+
+
 def keyed(
     df: DataFrame,
     keys: Sequence[str],
@@ -85,14 +89,18 @@ def keyed(
     side: str,
     decimals: str,
     unique_check: str = "inline",
+    order: str | None = None,
 ) -> DataFrame:
     """One row per canonical key: a presence mark (``*_n``) and the raw cells.
 
-    Compare columns the table lacks are left out; see ``pair_cells``.
+    Compare columns the table lacks are left out; see ``pair_cells``. ``order`` names a
+    column that goes along as ``*_order``.
     """
     cells = {
         cell_name(prefix, i): quoted(name) for i, name in enumerate(compare) if name in df.columns
     }
+    if order is not None:
+        cells[order_name(prefix)] = quoted(order)
     rows = df.selectExpr(
         *canonical_keys(df, keys, decimals),
         f"1 AS {count_name(prefix)}",

@@ -40,9 +40,12 @@ class Labels:
 
 
 def difference_lines(
-    joined: DataFrame, keys: Sequence[str], cells: Sequence[CellPair], labels: Labels
+    joined: DataFrame, keys: Sequence[str], cells: Sequence[CellPair], labels: Labels, kept: Sequence[str] = ()
 ) -> DataFrame:
-    """Report lines of a joined table: one per one-sided key, one per differing cell."""
+    """Report lines of a joined table: one per one-sided key, one per differing cell.
+
+    Columns of ``kept`` stay behind the others.
+    """
     suspect = joined.where(f"NOT ({IN_SOURCE}) OR NOT ({IN_TARGET}) OR {may_differ(cells)}")
     kind = (
         f"CASE WHEN NOT ({IN_TARGET}) THEN '{labels.missing_type}'"
@@ -57,15 +60,17 @@ def difference_lines(
             f"{blank} column_name",
             f"{blank} source_value",
             f"{blank} {labels.target_value}",
+            *kept,
         )
     # A one-sided key gives one line without a cell, a false alarm gives none.
     lines = f"CASE WHEN {IN_BOTH} THEN {changed_cells(cells)} ELSE array(NULL) END"
-    return suspect.selectExpr(kind, *keys, f"explode({lines}) AS cell").selectExpr(
+    return suspect.selectExpr(kind, *keys, *kept, f"explode({lines}) AS cell").selectExpr(
         "reconciliation_type",
         *keys,
         "cell.column_name AS column_name",
         "cell.source_value AS source_value",
         f"cell.target_value AS {labels.target_value}",
+        *kept,
     )
 
 
@@ -83,11 +88,11 @@ def summary_columns(cells: Sequence[CellPair], labels: Labels) -> list[Column]:
     ]
 
 
-def report_order(keys: Sequence[str], compare: Sequence[str], labels: Labels) -> list[Column]:
-    """Sort columns: missing, extra, mismatches; then key; then compare order."""
+def report_order(keys: Sequence[str], compare: Sequence[str], labels: Labels, inputs: Sequence[str] = ()) -> list[Column]:
+    """Sort columns: missing, extra, mismatches; then ``inputs``; then key; then compare order."""
     kind = F.col("reconciliation_type")
     rank = F.when(kind == labels.missing_type, 0).when(kind == labels.extra_type, 1).otherwise(2)
-    order = [rank, *[F.col(key) for key in keys]]
+    order = [rank, *[F.col(name) for name in (*inputs, *keys)]]
     if compare:
         names = F.array(*[F.lit(name) for name in compare])
         order.append(F.array_position(names, F.col("column_name")))

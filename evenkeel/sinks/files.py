@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from urllib.parse import unquote
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from evenkeel.functions.names import sheet_name_of
 from evenkeel.sources.combine import FILE, SHEET
 
 
@@ -24,8 +24,13 @@ def write_per_file(
     sheet name are an error, raised before anything is written; ``tag_length`` is
     the one that ``csv_by_header`` was given.
     """
+    files = getattr(groups, "files", None)
     groups = list(groups)
-    _check_sheets([file for group in groups for file in group.inputFiles()], tag_length)
+    if files is None and groups:
+        each = [group.select(F.col(FILE).alias("file"), SHEET).distinct() for group in groups]
+        files = reduce(DataFrame.unionAll, each)
+    if files is not None:
+        _check_sheets(files)
     for position, group in enumerate(groups):
         (
             group.drop(FILE)
@@ -43,9 +48,8 @@ def write_converted(df: DataFrame, path: str, mode: str = "errorifexists") -> No
     df.write.mode(mode).parquet(path)
 
 
-def _check_sheets(files: Iterable[str], tag_length: int | None) -> None:
-    seen: dict[str, str] = {}
-    for file in files:
-        sheet = sheet_name_of(unquote(file).rsplit("/", 1)[-1], tag_length)
-        if seen.setdefault(sheet, file) != file:
-            raise ValueError(f"{seen[sheet]} and {file} share the sheet name {sheet!r}")
+def _check_sheets(files: DataFrame) -> None:
+    """``files`` are (file, sheet_name)."""
+    shared = files.groupBy(SHEET).agg(F.min("file").alias("one"), F.max("file").alias("other")).where("one <> other").first()
+    if shared is not None:
+        raise ValueError(f"{shared.one} and {shared.other} share the sheet name {shared[SHEET]!r}")

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.names import column, sheet_name
-from evenkeel.sources.csv import read_csv_inferred
+from evenkeel.session import scratch_path
+from evenkeel.sources.csv import DOUBLED, checked_record, inferred_schema, parsed_record, read_csv_inferred
+from evenkeel.sources.csv_splits import BOM, records_and_headers
 
 SHEET = "sheet_name"
 FILE = "file_path"
 
 
+class CsvTables(list):
+    """Tables, one per header, with ``files``: (file, header, sheet_name) of every file."""
+
+    files: DataFrame | None = None
+
+
 def csv_by_header(
     spark: SparkSession,
     path: str | list[str],
@@ -24,38 +30,67 @@ def csv_by_header(
     infer: bool = True,
     same_header: bool = False,
     tag_length: int | None = None,
-) -> list[DataFrame]:
+) -> CsvTables:
     """One table per distinct header among the files, with their own columns.
 
     Each has ``sheet_name`` (the file's base name without ``.csv``, cut to
     ``tag_length`` if that is given) and ``file_path`` in front. With ``infer`` column types come from
-    a pass over the data, otherwise all columns are text. ``same_header=True``
-    saves the pass that looks for headers; a file that differs is then an error.
+    a pass over the data, otherwise all columns are text. Large files are read in several
+    tasks. ``same_header=True`` leaves out the pass that looks for headers and reads each
+    file in one task; a file that differs is then an error.
+
+    Headers come from the pass that finds out where records end, and files are told apart
+    by Spark joins: the driver sees the distinct headers, not the files. Where headers
+    differ, the records are stored by header first, so each table is read by itself.
     """
+    tables = CsvTables()
     if same_header:
-        return [_read_group(spark, path, delimiter, infer, tag_length)]
-    return [
-        _read_group(spark, [_as_path(uri) for uri in row.files], delimiter, infer, tag_length)
-        for row in _files_by_header(spark, path).collect()
-    ]
-
-
-def _files_by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Header line -> URIs of the files that start with it."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("uri"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("position"),
-        F.ltrim(F.col("value"), F.lit("\ufeff")).alias("line"),
-    )
-    # Lines of one split keep their order, so the first one is the header.
-    headers = lines.where("start = 0 AND line <> ''").groupBy("uri")
-    return (
-        headers.agg(F.min_by("line", "position").alias("header"))
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("uri")).alias("files"))
-        .orderBy("header")
-    )
+        tables.append(_read_group(spark, path, delimiter, infer, tag_length))
+        return tables
+    records, found = records_and_headers(spark, path, delimiter)
+    header = F.ltrim(F.rtrim("record", F.lit("\r")), F.lit(BOM)).alias("header_line")
+    files = scratch_path(spark, "files")
+    found.select("file", header, _sheet(tag_length).alias(SHEET)).write.parquet(files)
+    tables.files = spark.read.parquet(files)
+    headers = [row.header_line for row in tables.files.select("header_line").distinct().orderBy("header_line").collect()]
+    rows = records.where("NOT header")
+    if len(headers) > 1:
+        numbered = spark.createDataFrame(list(enumerate(headers)), "header_number int, header_line string")
+        of_file = tables.files.join(F.broadcast(numbered), "header_line").select("file", "header_number")
+        routed = scratch_path(spark, "routed")
+        rows.join(of_file, "file").write.partitionBy("header_number").parquet(routed)
+        rows = spark.read.schema(f"{_sql_schema(rows)}, header_number int").parquet(routed)
+    for number, line in enumerate(headers):
+        own = rows.where(F.col("header_number") == number) if len(headers) > 1 else rows
+        tables.append(_typed_group(own, line, delimiter, infer, tag_length))
+    return tables
+
+
+def _sql_schema(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _sheet(tag_length: int | None) -> Column:
+    return sheet_name(F.element_at(F.split("file", "/"), -1), tag_length)
+
+
+def _typed_group(rows: DataFrame, header: str, delimiter: str, infer: bool, tag_length: int | None) -> DataFrame:
+    """Records of files with one header, parsed and typed, behind their tag and file."""
+    spark = rows.sparkSession
+    names = _names_of(spark, header, delimiter)
+    record = checked_record(rows, delimiter)
+    schema = inferred_schema(record, len(names), delimiter) if infer else T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    cells = parsed_record(F.col("record"), schema, delimiter)
+    df = record.select(_sheet(tag_length).alias(SHEET), F.col("file").alias(FILE), cells.alias("cells"))
+    return df.select(SHEET, FILE, *[F.col(f"cells.c{i}").alias(name) for i, name in enumerate(names)])
+
+
+def _names_of(spark: SparkSession, header: str, delimiter: str) -> list[str]:
+    """Column names as Spark's own reader makes them: blanks by place, repeats numbered."""
+    found = spark.read.option("header", True).option("sep", delimiter).option("escape", DOUBLED)
+    one = spark.createDataFrame([(header,)], "value string")
+    lines = getattr(one._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return [name for name in found._jreader.csv(lines).columns()]
 
 
 def combine_csv(
@@ -99,8 +134,3 @@ def _read_group(
         F.col("_metadata.file_path").alias(FILE),
         *[column(name) for name in df.columns],
     )
-
-
-def _as_path(uri: str) -> str:
-    """Reader path of a file URI: decoded, with glob characters escaped."""
-    return re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(uri))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -11,8 +12,11 @@ from pyspark.sql import types as T
 
 from evenkeel.functions.names import column
 from evenkeel.functions.text import canonical_text
+from evenkeel.sources.csv_splits import cell_pattern, csv_records
 
 CORRUPT = "_corrupt_record"
+# Place of a row among all: a struct of file, start and line.
+ORDINAL = "_csv_ordinal"
 
 # No text holds it, so a reader with this delimiter gives whole lines.
 NO_DELIMITER = "\u0001"
@@ -29,6 +33,8 @@ def read_csv_strict(
     columns: Sequence[str] | None = None,
     multi_line: bool = True,
     trim: bool = True,
+    split: bool = False,
+    ordinal: bool = False,
 ) -> DataFrame:
     """CSV with a header as text columns; bad files and rows are errors.
 
@@ -39,7 +45,10 @@ def read_csv_strict(
     without it cells stay raw and blanks are NULL, which ``reconcile`` treats alike.
 
     Every file is read alike, whatever its size. By default cells may hold line
-    breaks, which makes one task per file. ``multi_line=False`` splits files at their
+    breaks, which makes one task per file. ``split=True`` reads such files in as many tasks
+    as they have splits, in two passes, and needs Python workers. ``ordinal`` adds, with
+    ``split``, the column ``ORDINAL``: file, start of the split and line there, which put
+    rows in the order of their files. ``multi_line=False`` splits files at their
     line ends; a line that ends inside a quoted cell is then an error. So are, in both
     modes, text behind a closing quote and a carriage return without a line feed where
     it cannot be told from a row end: in a quoted cell, and by default in any cell.
@@ -53,7 +62,12 @@ def read_csv_strict(
 
     fields = [T.StructField(raw or name, T.StringType()) for raw, name in zip(raw_names, names, strict=True)]
     schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
-    if multi_line:
+    if ordinal and not split:
+        raise ValueError("only split reads number their rows")
+    if split:
+        records = csv_records(spark, path, delimiter)
+        df = _parsed_records(_checked_headers(records, names, delimiter), schema, delimiter).toDF(*names, CORRUPT, ORDINAL)
+    elif multi_line:
         df = (
             csv_reader(spark, delimiter, multi_line)
             # Told, not detected: a file may end its lines in both ways.
@@ -71,9 +85,10 @@ def read_csv_strict(
     if wanted:
         needed = 1 + max(names.index(name) for name in wanted)
         df = df.where(_long_enough(names, needed, delimiter))
+    kept = [column(ORDINAL)] if ordinal else []
     if not trim:
-        return df.select(*[column(name) for name in wanted])
-    return df.select(*[canonical_text(name, T.StringType()).alias(name) for name in wanted])
+        return df.select(*[column(name) for name in wanted], *kept)
+    return df.select(*[canonical_text(name, T.StringType()).alias(name) for name in wanted], *kept)
 
 
 def read_csv_typed(
@@ -133,14 +148,22 @@ def read_csv_dropping_bad(
 
 
 def read_csv_inferred(
-    spark: SparkSession, path: str | list[str], delimiter: str = ",", infer: bool = True
+    spark: SparkSession, path: str | list[str], delimiter: str = ",", infer: bool = True, split: bool = False
 ) -> DataFrame:
     """CSV with a header; ``infer`` finds column types by a pass over the data.
 
-    Cells may hold line breaks, so each file is one task, whatever its size. Text behind a
+    Cells may hold line breaks, so each file is one task, whatever its size; with ``split``
+    it is as many as it has splits, and one more pass finds where records end. Text behind a
     closing quote and carriage returns without a line feed are errors. A file must end
-    all its lines alike.
+    all its lines alike, without ``split``.
     """
+    if split:
+        names = clean_header(csv_header(spark, path, delimiter))
+        records = checked_record(_checked_headers(csv_records(spark, path, delimiter), names, delimiter), delimiter)
+        places = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        schema = inferred_schema(records, len(names), delimiter) if infer else places
+        cells = records.select(parsed_record(F.col("record"), schema, delimiter).alias("cells"))
+        return cells.select(*[F.col(f"cells.c{i}").alias(name) for i, name in enumerate(names)])
     df = (
         csv_reader(spark, delimiter, multi_line=True)
         .option("inferSchema", infer)
@@ -173,8 +196,8 @@ def clean_header(raw_names: Sequence[str]) -> list[str]:
     alike = sorted({name for name in names if folded.count(name.lower()) > 1})
     if alike:
         raise ValueError(f"CSV header has columns that differ in letter case only: {alike}")
-    if CORRUPT in names:
-        raise ValueError(f"CSV header may not use the name {CORRUPT}")
+    if taken := sorted({CORRUPT, ORDINAL} & set(names)):
+        raise ValueError(f"CSV header may not use the name {taken[0]}")
     return names
 
 
@@ -234,6 +257,58 @@ def _parsed_lines(spark: SparkSession, path: str | list[str], delimiter: str, sc
     return checked.select(F.from_csv("line", by_place.simpleString()[7:-1].replace(":", " "), options).alias("row")).select("row.*")
 
 
+def _checked_headers(records: DataFrame, names: Sequence[str], delimiter: str) -> DataFrame:
+    """``csv_records`` without their headers; one that does not follow ``names`` fails the query."""
+    cells = ", ".join(f"c{i} STRING" for i in range(len(names) + 1))
+    header = F.ltrim(F.rtrim("record", F.lit("\r")), F.lit("\ufeff"))
+    found = F.from_csv(header, cells, {"sep": delimiter, "escape": DOUBLED, "mode": "PERMISSIVE"})
+    # A blank name is its place; the cell behind the last must not be there.
+    given = [
+        F.when(F.trim(F.coalesce(found[f"c{i}"], F.lit(""))) == "", F.lit(f"_c{i}")).otherwise(F.trim(found[f"c{i}"])) for i in range(len(names))
+    ]
+    same = (F.array(*given) == F.array(*map(F.lit, names))) & found[f"c{len(names)}"].isNull()
+    shown = F.concat_ws(" ", F.lit("CSV header differs:"), "record", F.lit("in"), "file")
+    failure = F.raise_error(shown).cast("boolean")
+    return records.where(F.when(~F.col("header"), True).when(same, False).otherwise(failure))
+
+
+def checked_record(records: DataFrame, delimiter: str) -> DataFrame:
+    """``csv_records`` with records as a parser takes them; open cells and lone returns fail."""
+    record = F.regexp_replace("record", "\r\\z", "")
+    sep, cell = re.escape(delimiter), cell_pattern(delimiter)
+    whole = F.col("record").rlike(f"^{cell}(?:{sep}{cell})*+\\z")
+    lone = F.contains("record", F.lit("\r")) & F.col("record").rlike("\r(?!\n)")
+    shown = F.lit("CSV record ends inside a quoted cell, or has text behind one:")
+    return (
+        records.withColumn("record", record)
+        .where(_failing(~whole, shown, F.col("record")))
+        .where(_failing(lone, F.lit("CSV cell holds a carriage return without a line feed:"), F.col("record")))
+    )
+
+
+def parsed_record(record: Column, schema: T.StructType, delimiter: str) -> Column:
+    """Struct of a record's cells; ``schema`` has names that need no quoting."""
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    return F.from_csv(record, fields, {"sep": delimiter, "escape": DOUBLED, "columnNameOfCorruptRecord": CORRUPT, "lineSep": "\n"})
+
+
+def inferred_schema(records: DataFrame, n: int, delimiter: str) -> T.StructType:
+    """Types of the ``n`` cells ``c0 ..`` of ``records`` (record), as Spark's reader infers them."""
+    spark = records.sparkSession
+    # The schema's own record tells Spark how many cells there are.
+    first = spark.createDataFrame([(delimiter.join(f"c{i}" for i in range(n)),)], "record string")
+    texts = getattr(first.unionAll(records.select("record"))._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = csv_reader(spark, delimiter, multi_line=True).option("inferSchema", True)
+    return T.StructType.fromJson(json.loads(reader._jreader.csv(texts).schema().json()))
+
+
+def _parsed_records(records: DataFrame, schema: T.StructType, delimiter: str) -> DataFrame:
+    """Columns of ``schema``, by position, and the ordinal of ``csv_records`` without headers."""
+    by_place = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields[:-1])] + [schema.fields[-1]])
+    row = parsed_record(F.col("record"), by_place, delimiter)
+    return checked_record(records, delimiter).select(row.alias("row"), F.struct("file", "start", "line").alias(ORDINAL)).select("row.*", ORDINAL)
+
+
 def _long_enough(names: Sequence[str], needed: int, delimiter: str) -> Column:
     """Filter that fails the query on a row with fewer than ``needed`` cells."""
     sep = re.escape(delimiter)

@@ -103,6 +103,9 @@ def test_strict_source_equals_python(spark, put, case, splits):
     assert sorted(tuple(row) for row in df.collect()) == rows
     some = read_csv_strict(spark, path, columns=names[:1])
     assert sorted(tuple(row) for row in some.collect()) == sorted(row[:1] for row in rows)
+    parts = read_csv_strict(spark, path, split=True)
+    assert parts.columns == names
+    assert sorted(tuple(row) for row in parts.collect()) == rows
     if case not in NOT_ONE_LINE_ROWS:
         lines = read_csv_strict(spark, path, multi_line=False)
         assert lines.columns == names
@@ -115,6 +118,8 @@ def test_strict_source_refuses_what_it_cannot_tell(spark, put, case, splits):
     for columns in (None, ["id"]):
         with pytest.raises((PySparkException, Py4JError, ValueError)):
             read_csv_strict(spark, path, columns=columns).collect()
+        with pytest.raises((PySparkException, Py4JError, ValueError)):
+            read_csv_strict(spark, path, columns=columns, split=True).collect()
     if case != "carriage returns end all lines":
         with pytest.raises((PySparkException, Py4JError)):
             read_csv_inferred(spark, path).collect()

@@ -7,10 +7,11 @@ from decimal import Decimal
 import pytest
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from evenkeel.operators import DuplicateKeyError
 from evenkeel.plans import reconcile
-from evenkeel.sinks import LoadError, load_target
+from evenkeel.sinks import LoadError, load_exactly_once, load_target
 from evenkeel.sources import jdbc_table, sqlite_table
 
 VALUES = [
@@ -218,3 +219,68 @@ def test_truncate_is_refused_where_spark_would_drop_the_table(spark, url):
     # No such database is there: nothing connects before the refusal.
     with pytest.raises(ValueError, match="no TRUNCATE"):
         load_target(rows, url, "t", "id", truncate=True)
+
+
+def staging_tables(spark, url):
+    tables = "(SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLENAME LIKE 'EVENKEEL_LOAD_%') staged"
+    return spark.read.jdbc(url, tables).count()
+
+
+def test_staged_load_appends_and_replaces(spark, url):
+    name = make_table(spark, url)
+    assert load_exactly_once(source_rows(spark).repartition(3), url, name, "ID", "AMOUNT,NOTE") == 3
+    got = sorted(tuple(row) for row in jdbc_table(spark, url, name).collect())
+    assert got == [(1, Decimal("10.50"), "x"), (2, None, "y"), (3, Decimal("7.00"), "")]
+    more = spark.createDataFrame([("4", "1", "z")], "ID string, AMOUNT string, NOTE string")
+    load_exactly_once(more, url, name, ["ID"], connections=1)
+    assert jdbc_table(spark, url, name).count() == 4
+    load_exactly_once(more, url, name, ["ID"], truncate=True)
+    assert [row.ID for row in jdbc_table(spark, url, name).collect()] == [4]
+    load_exactly_once(more.where("false"), url, name, ["ID"], truncate=True)
+    assert jdbc_table(spark, url, name).count() == 0
+    assert staging_tables(spark, url) == 0
+    with pytest.raises(ValueError, match="lacks"):
+        load_exactly_once(more.withColumnRenamed("NOTE", "other"), url, name, ["ID"])
+    with pytest.raises(DuplicateKeyError, match="source"):
+        load_exactly_once(more.unionAll(more), url, name, ["ID"])
+
+
+@pytest.mark.parametrize("again", ["load_part >= 0", "load_part = 1", "load_part % 2 = 0"])
+def test_staged_load_of_tasks_that_commit_and_run_again(spark, url, monkeypatch, again):
+    """A task whose end the driver did not hear of is run again; both attempts have committed."""
+    name = make_table(spark, url)
+    rows = spark.range(500).selectExpr("CAST(id AS STRING) AS ID", "CAST(id AS STRING) AS AMOUNT", "'n' AS NOTE").repartition(4)
+    write = DataFrameWriter.jdbc
+
+    def write_again(self, *args, **options):
+        write(self, *args, **options)
+        write(self._df.where(again).write, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", write_again)
+    for truncate in (False, True):
+        assert load_exactly_once(rows, url, name, "ID", truncate=truncate) == 500
+        assert sorted(row.ID for row in jdbc_table(spark, url, name).collect()) == list(range(500))
+
+
+def test_staged_load_that_lacks_rows_changes_nothing(spark, url, monkeypatch):
+    name = make_table(spark, url)
+    load_exactly_once(source_rows(spark), url, name, "ID")
+    write = DataFrameWriter.jdbc
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, *a, **k: write(self._df.where("ID <> '2'").write, *a, **k))
+    with pytest.raises(LoadError, match="2 rows were staged"):
+        load_exactly_once(source_rows(spark), url, name, "ID", truncate=True)
+    assert jdbc_table(spark, url, name).count() == 3
+    assert staging_tables(spark, url) == 0
+
+
+def test_staged_load_after_a_failed_task(spark, url):
+    """A task fails in the middle: nothing of the target changes, and the next load is whole."""
+    name = make_table(spark, url)
+    load_exactly_once(source_rows(spark), url, name, "ID")
+    failing = source_rows(spark).withColumn("NOTE", F.when(F.col("ID") == "3", F.repeat(F.lit("x"), 60)).otherwise(F.col("NOTE")))
+    with pytest.raises(Exception, match="truncation|22001"):
+        load_exactly_once(failing, url, name, "ID", truncate=True)
+    assert jdbc_table(spark, url, name).where("NOTE = 'x'").count() == 1
+    assert jdbc_table(spark, url, name).count() == 3 and staging_tables(spark, url) == 0
+    load_exactly_once(source_rows(spark), url, name, "ID", truncate=True)
+    assert jdbc_table(spark, url, name).count() == 3
