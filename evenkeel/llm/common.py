@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import unicodedata
 import zlib
 
 import numpy as np
@@ -16,6 +17,26 @@ from evenkeel.session import allow_local_scratch, scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def _marks() -> str:
+    """Ranges of the combining marks (Mn, Mc) in the planes that scripts use, for a character class."""
+    marks = [c for c in range(0x300, 0x20000) if unicodedata.category(chr(c)) in ("Mn", "Mc")]
+    starts = [c for c in marks if unicodedata.category(chr(c - 1)) not in ("Mn", "Mc")]
+    ends = [c for c in marks if unicodedata.category(chr(c + 1)) not in ("Mn", "Mc")]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True))
+
+
+# A word of letters; a mark belongs to the letter before it.
+LETTERS = rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as make it differ from every column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -1,15 +1,17 @@
+from collections import Counter
+
 import numpy as np
-import pytest
 
 from evenkeel.llm.q_toxicity import op10_toxicity
-from evenkeel.llm.toxicity import VOTERS, LabelModel, drop_toxic, entries, fit_linear, train, with_score
+from evenkeel.llm.toxicity import PATTERNS, VOTERS, LabelModel, drop_toxic, entries, fit_linear, pattern_bits, train, with_score
 
 DATA = "/root/testdata"
 DOCS = "doc_id long, text string, score string, toxic string"
 
 
 def test_entries():
-    assert entries("Abc abcdefgh!") == {"abc", "abcdefgh", "abc*", "abcd*", "abcde*", "abcdef*"}
+    assert entries("Abc abcdefgh!") == {"abc", "abcdefgh", "abc*", "abcd*", "abcde*", "abcdef*", "abcdefg*"}
+    assert entries("नमस्ते") >= {"नमस्ते"} and entries("a\u0301b") == {"a\u0301b"}  # marks belong to their letters
 
 
 def test_label_model_finds_rates_and_shares_the_voice_of_copies():
@@ -72,10 +74,46 @@ def test_lexicon_counts_all_labelled_texts(spark, monkeypatch):
     assert score[5000] >= 0.5 and all((score[i] >= 0.5) == (i % 3 == 0) for i in range(1800))
 
 
+def test_labels_other_than_0_and_1_do_not_count(spark):
+    docs = spark.createDataFrame([(i, "You idiot." if i % 2 else "Fine.") for i in range(20)], "doc_id long, text string")
+    labels = [(0, 2), (1, -1), (2, None), (None, 1), (4, 0), (4, 0), (5, 1), (5, 0)]
+    with_odd, without = (train(docs, spark.createDataFrame(rows, "doc_id long, toxic int")) for rows in (labels, labels[4:]))
+    assert with_odd.weights.tolist() == without.weights.tolist()
+
+
+def test_any_column_names(spark):
+    docs = spark.createDataFrame([(1, "You idiot.", "x", 0.7, 1), (2, "Fine.", "y", None, 2)], "doc_id long, text string, toxic_score string, _toxic_score double, h int")
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, toxic int")
+    assert drop_toxic(docs, labels).collect() == [docs.collect()[1]]
+
+
+def test_votes_equal_the_patterns():
+    for text in ["", "AAAA BBBB CCCC", "AAAA bbbb CCCC", "no!!", "no!!!", "you are bad!", "You, are\n bad!", "tu es là! x", "ABCDE, FGHI! JKLM"]:
+        assert pattern_bits(text) == sum(bool(p.search(text)) << (i + 1) for i, p in enumerate(PATTERNS.values()))
+
+
+def test_copies_are_one_witness(spark):
+    """A third of the rows are one text with many ids, another id and text is repeated as it is."""
+    rows = [(i, "the hot text grumbel") for i in range(200)] + [(500, "again and again")] * 50 + [(1000 + i, f"text {i} calm") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i == 7)) for i in range(200)] + [(500, 0)] + [(1000 + i, 0) for i in range(200)], "doc_id long, toxic int")
+    from evenkeel.llm.toxicity import _entry_counts, _labelled, _one_label
+    from pyspark.sql import functions as F
+
+    counts = {r.entry: (r.clean, r.toxic) for r in _entry_counts(_labelled(docs, _one_label(labels), F.lit(True))).collect()}
+    assert counts["grumbel"] == (0, 1) and counts["again"] == (1, 0) and counts[""] == (201, 1) and counts["calm"] == (200, 0)
+
+
 def test_held_out_texts(spark):
-    got = {r.doc_id: r for r in op10_toxicity(spark, f"{DATA}/sf0.01").collect()}
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{DATA}/sf0.01/labels.parquet").collect()}
-    held = [i for i in labels if got[i].held_out]
-    assert held and all(got[i].predicted == 0 for i in held if labels[i] == 0)
-    assert sum(got[i].predicted for i in held if labels[i]) >= 0.6 * sum(labels[i] for i in held)
-    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
+    """Recall and precision by language. Six of the 97 held-out toxic texts are junk without any mark."""
+    docs = {r.doc_id: r.lang for r in spark.read.parquet(f"{DATA}/sf0.1/documents.parquet").select("doc_id", "lang").collect()}
+    got = {r.doc_id: r for r in op10_toxicity(spark, f"{DATA}/sf0.1").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{DATA}/sf0.1/labels.parquet").collect()}
+    assert len(got) == len(docs) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
+    told = Counter((docs[i], toxic, got[i].predicted) for i, toxic in labels.items() if got[i].held_out)
+    total = Counter()
+    for (_, toxic, predicted), n in told.items():
+        total[toxic, predicted] += n
+    assert total[1, 1] >= 0.9 * (total[1, 1] + total[1, 0]) and total[1, 1] >= 0.95 * (total[1, 1] + total[0, 1]), told
+    for lang, least in (("en", 0.9), ("fr", 0.9), ("de", 0.75), ("es", 0.8)):
+        assert told[lang, 1, 1] >= least * (told[lang, 1, 1] + told[lang, 1, 0]), told
