@@ -5,7 +5,10 @@ ends. ``name = "literal"`` (also ``:``, ``:=``, ``=>``, JSON keys, ``export``, t
 declarations, YAML and ini lines with a bare value) gives a name-literal pair. A value
 that is made of literals and earlier names joined by ``+`` is put together from them, so
 that a secret split over constants, or given a harmless name first, is seen under the
-name it ends in. A pair is scored by how sensitive the words of its name are and how
+name it ends in; a name that is given something unknown is none of them any more. So are
+adjacent strings and sums in parentheses and strings with names put in (``f"{a}{b}"``).
+Calls with a name and a literal as their first arguments (``set("password", "..")``), YAML
+values behind a tag and XML elements are pairs, too. A pair is scored by how sensitive the words of its name are and how
 random its literal looks, and is a finding from ``THRESHOLD`` on.
 """
 
@@ -48,18 +51,40 @@ MIN_LITERAL = 6
 # A comment's text is read like any other. An apostrophe within or behind a word opens no string.
 LEXEME = re.compile(
     r"""
-      (?P<string>"(?:[^"\\\n]|\\.)*"|(?:(?<![^\s=:+(\[{,;])|(?<=\b[bfruBFRU]))'(?:[^'\\\n]|\\.)*'(?!\w)|`[^`\n]*`)
-    | (?P<name>[A-Za-z_][A-Za-z0-9_]*(?:[.-][A-Za-z_][A-Za-z0-9_]*)*)
+      (?P<quote>"|`|(?:(?<![^\s=:+(\[{,;!])|(?<=\b[bfruBFRU]))')
+    | (?P<name>[A-Za-z_][A-Za-z0-9_]*+(?:[.-][A-Za-z_][A-Za-z0-9_]*+)*+)
     | (?P<op>:=|=>|==|!=|<=|>=|\+=|[=:+])
     | (?P<end>[\n;,{}])
+    | (?P<open>\()
     | (?P<comment>\#|//)
     """,
     re.VERBOSE | re.ASCII,
 )
+# Whole strings from their quotes. One of three quotes may span lines.
+STRINGS = {
+    '"': re.compile(r'"((?:[^"\\\n]++|\\.)*+)"'),
+    "'": re.compile(r"'((?:[^'\\\n]++|\\.)*+)'(?!\w)"),
+    "`": re.compile(r"`([^`\n]*+)`"),
+    '"""': re.compile(r'"""((?:[^"\\]++|\\.|"(?!""))*+)"""', re.DOTALL),
+    "'''": re.compile(r"'''((?:[^'\\]++|\\.|'(?!''))*+)'''", re.DOTALL),
+}
+# What may stand before a quote, and names that a string puts in.
+PREFIX = re.compile(r"(?:[bfruBFRU]|[fFbB][rR]|[rR][fFbB])(?=[\"'])")
+PLACED = re.compile(r"\$?\{([A-Za-z_]\w*)\}")
+# ``!!str`` and the like before a YAML value.
+TAG = re.compile(r"!{1,2}[A-Za-z][\w-]*+[ \t]++")
+# ``f("name", `` and ``<name>value</name>``
+CALL = re.compile(r"""\(\s*+(["'])([A-Za-z_][\w.-]*+)\1\s*+,\s*+""", re.ASCII)
+ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*+)(?:\s[^<>]*+)?>([^<>]*+)</\1\s*>", re.ASCII)
 # A value without quotes ends with the line or at white space.
 BARE = re.compile(r"""[^\s"'`;,{}\[\]()<>#]+""")
-#: An assignment can only start before one of these.
-OPERATOR = re.compile(r"[:=]")
+# The last of its line, but for a comment.
+LINE_ENDS = re.compile(r"[^\S\n]*+(?:[\n#;,]|\Z)")
+BLANKS, SPACE = re.compile(r"[ \t]*+"), re.compile(r"\s*+")
+# Characters of a put-together constant that are kept for those it goes into.
+LONGEST = 1024
+#: A pair needs one of these.
+OPERATOR = re.compile(r"[:=(<]")
 
 
 def words_of(name: str) -> list[str]:
@@ -86,11 +111,17 @@ def literal_score(value: str) -> float:
 
 
 class Lexer:
-    """Name-literal pairs of one text, with constants propagated in reading order."""
+    """Name-literal pairs of one text, with constants propagated in reading order.
 
-    def __init__(self, text: str):
-        self.text = text
+    Its time grows with the text's length: where a quote has no partner on its line, no
+    later quote there is looked at again (``remember``), and a bare run is measured once.
+    """
+
+    def __init__(self, text: str, remember: bool = True):
+        self.text, self.remember = text, remember
         self.constants: dict[str, str] = {}
+        self.unclosed: dict[str, tuple[int, int]] = {}  # from where to where a quote has no partner
+        self.run = (0, 0, False)  # start and end of the last bare run, and whether it ends its line
 
     def pairs(self) -> Iterator[tuple[str, str, int, int]]:
         """(name, value, start, end); the span is the value's, from its first part to its last."""
@@ -105,52 +136,114 @@ class Lexer:
                 if value is not None:
                     whole, start, end = value
                     if found[0] == "+=":
-                        whole = self.constants.get(previous, "") + whole
+                        whole = (self.constants.get(previous, "") + whole)[:LONGEST]
                     self.constants[previous] = whole
                     yield previous, whole, start, end
                     # ``a: Type = "x"``: the name goes on to the next operator.
                     at = end
                     previous = None
                 elif found[0] != ":":
+                    # It is something unknown now.
+                    self.constants.pop(previous, None)
                     previous = None
             elif kind == "name":
                 # In ``name: Type = value`` the type does not replace the name.
                 typed = previous is not None and text.endswith((": ", ":"), 0, found.start())
                 previous = previous if typed else found[0]
-            elif kind == "string":
-                previous = found[0][1:-1]
+            elif kind == "quote":
+                string = self.string(found.start())
+                if string is not None:
+                    previous, at = string
+            elif kind == "open":
+                call = CALL.match(text, found.start())
+                value = self.value(call.end(), bare=False) if call else None
+                if value is not None:
+                    yield call[2], *value
+                    at = value[2]
+                previous = None
             elif kind in ("end", "comment", "op"):
                 previous = None
-        return
 
-    def value(self, at: int) -> tuple[str, int, int] | None:
-        """Literal, constant or sum of them at ``at``; None if it is none of these."""
-        text, parts, start = self.text, [], None
+    def string(self, at: int) -> tuple[str, int] | None:
+        """Text and end of the string whose quote is at ``at``."""
+        text, quote = self.text, self.text[at]
+        if quote != "`" and text.startswith(quote * 3, at):
+            whole = self._closed(quote * 3, at, len(text))
+            if whole is not None:
+                return whole
+        return self._closed(quote, at, None)
+
+    def _closed(self, quote: str, at: int, line_end: int | None) -> tuple[str, int] | None:
+        since, until = self.unclosed.get(quote, (0, 0))
+        if self.remember and since <= at < until:
+            return None
+        found = STRINGS[quote].match(self.text, at)
+        if found is not None:
+            return found[1], found.end()
+        if quote != "'":
+            # What comes before a line's end is read alike from every quote that is passed over.
+            if line_end is None:
+                line_end = self.text.find("\n", at)
+            self.unclosed[quote] = at, len(self.text) if line_end < 0 else line_end
+        return None
+
+    def _bare(self, at: int) -> int | None:
+        """End of the bare value at ``at``, if it ends its line."""
+        start, end, last = self.run
+        if not (self.remember and start <= at < end):
+            found = BARE.match(self.text, at)
+            if found is None:
+                return None
+            end = found.end()
+            last = LINE_ENDS.match(self.text, end) is not None
+            self.run = (at, end, last)
+        return end if last else None
+
+    def value(self, at: int, bare: bool = True) -> tuple[str, int, int] | None:
+        """Literal, constant or sum of them at ``at``, maybe in parentheses; None if it is none of these."""
+        text, parts, start, end, depth = self.text, [], None, at, 0
+        at = BLANKS.match(text, at).end()
+        if tag := TAG.match(text, at):
+            at = tag.end()
+        while text[at : at + 1] == "(":
+            at, depth = SPACE.match(text, at + 1).end(), depth + 1
         while True:
-            while at < len(text) and text[at] in " \t":
-                at += 1
-            found = LEXEME.match(text, at)
-            if found and found.lastgroup == "string":
-                part = found[0][1:-1]
-            elif found and found.lastgroup == "name" and found[0] in self.constants:
-                part = self.constants[found[0]]
-            elif not parts and (bare := BARE.match(text, at)) and self._ends_line(bare.end()):
-                found, part = bare, bare[0]
+            part = self._part(at)
+            if part is not None:
+                bare = False
+            elif not parts and not depth and bare and (stop := self._bare(at)) is not None:
+                part = text[at:stop], stop
+            elif parts and depth:
+                break
             else:
                 return None
-            parts.append(part)
-            start = found.start() if start is None else start
-            at = end = found.end()
-            while at < len(text) and text[at] in " \t":
-                at += 1
-            if text[at : at + 1] != "+" or text[at : at + 2] == "+=":
-                return "".join(parts), start, end
-            at += 1
-
-    def _ends_line(self, at: int) -> bool:
-        """A bare value is the last of its line, but for a comment."""
-        rest = self.text[at : at + 80].split("\n", 1)[0].strip()
-        return not rest or rest[0] in "#;,"
+            parts.append(part[0])
+            start = at if start is None else start
+            end = part[1]
+            at = (SPACE if depth else BLANKS).match(text, end).end()
+            if text[at : at + 1] == "+" and text[at : at + 2] != "+=":
+                at = (SPACE if depth else BLANKS).match(text, at + 1).end()
+            elif not (depth and text[at : at + 1] in ('"', "'")):
+                break
+        if depth and text[at : at + 1] != ")":
+            return None
+        return (parts[0] if len(parts) == 1 else "".join(parts)[:LONGEST]), start, end
+
+    def _part(self, at: int) -> tuple[str, int] | None:
+        """A string or a known constant at ``at``."""
+        text = self.text
+        prefix = PREFIX.match(text, at)
+        opens = prefix.end() if prefix else at
+        if text[opens : opens + 1] in ('"', "'", "`"):
+            string = self.string(opens)
+            if string is not None and ((prefix and "f" in prefix[0].lower()) or text[opens] == "`"):
+                # Names that are known are put in; others stay as they are written.
+                return PLACED.sub(lambda m: self.constants.get(m[1], m[0]), string[0])[:LONGEST], string[1]
+            return string
+        found = LEXEME.match(text, at)
+        if found and found.lastgroup == "name" and found[0] in self.constants:
+            return self.constants[found[0]], found.end()
+        return None
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -161,15 +254,25 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int]]:
-    """Spans of literals that the lexer finds under sensitive names."""
+    """Spans of literals that the lexer finds under sensitive names, and of XML elements."""
     if not OPERATOR.search(text):
         return []
-    spans = []
-    for name, value, start, end in Lexer(text).pairs():
+    spans, worth = set(), {}
+
+    def judge(name: str, value: str, start: int, end: int) -> None:
         sensitive = name_score(name)
-        if sensitive and (worth := literal_score(value)) and sensitive + worth >= threshold:
-            spans.append(("literal", start, end))
-    return spans
+        if sensitive:
+            if value not in worth:
+                worth[value] = literal_score(value)
+            if worth[value] and sensitive + worth[value] >= threshold:
+                spans.add(("literal", start, end))
+
+    for pair in Lexer(text).pairs():
+        judge(*pair)
+    if "</" in text:
+        for found in ELEMENT.finditer(text):
+            judge(found[1], found[2].strip(), *found.span(2))
+    return ordered(list(spans))
 
 
 def ordered(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -191,7 +294,8 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     ``base`` holds the matches of the fixed patterns (kinds ``assign``, ``access`` and
     ``hex``), ``found`` these and the lexer's (kind ``literal``), each by start, then
     kind. NULL and empty texts have none. Every row gives a row, repeated ones, too.
-    Other columns are not looked at.
+    Other columns are not looked at. The time of a text grows with its length, also on one
+    very long line; of a constant that is put together, ``LONGEST`` characters are kept.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

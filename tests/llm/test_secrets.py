@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
@@ -85,6 +87,66 @@ def test_behind_comment_marks_urls_and_apostrophes(text, expected):
     assert literals("pad " * 1000 + text) == expected
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ('password = """Zx81!kQ9v\naa02"""', ['"""Zx81!kQ9v\naa02"""']),
+        ("a = 'Zx81'\nb = '!kQ9v'\npassword = f'{a}{b}x'", ["f'{a}{b}x'"]),
+        ("const a = 'Zx81!'\nconst dbPassword = `${a}kQ9v`;", ["`${a}kQ9v`"]),
+        ('store.set("password", "Zx81!kQ9v")', ['"Zx81!kQ9v"']),
+        ("x = 'Zx81!kQ9v'\nos.environ.setdefault('DB_PASSWORD', x)", ["x"]),
+        ("db_pwd: !!str Zx81!kQ9v\n", ["Zx81!kQ9v"]),
+        ("<config><DB_PWD>Zx81!kQ9v</DB_PWD><a>b</a></config>", ["Zx81!kQ9v"]),
+        ('password = ("Zx81!kQ9v")', ['"Zx81!kQ9v"']),
+        ('password = (\n  "Zx81!"\n  "kQ9v"\n)', ['"Zx81!"\n  "kQ9v"']),
+        ("a = 'Zx81!kQ9v'\na = load()\npassword = a\n", []),
+        ("a = 'Zx81!kQ9v'\na = load(1)\npassword = a + 'b'\n", []),
+        ("DB_PWD=Zx81!kQ9v" + " " * 100 + "and more\n", []),
+        ("DB_PWD=Zx81!kQ9v" + " " * 100 + "# and more\n", ["Zx81!kQ9v"]),
+        ("f(\"colour\", \"Zx81!kQ9v\") and g('password', load())", []),
+    ],
+)
+def test_more_syntax(text, expected):
+    assert literals(text) == expected
+
+
+LONG_LINES = {
+    "escaped JSON": '{\\"key\\":\\"value\\",' * 90_000,
+    "queries": "k=v&" * 500_000,
+    "quotes": '" ' * 1_000_000,
+    "apostrophes": " 'x" * 700_000,
+    "triple quotes": '""" ' * 500_000,
+    "backquotes": "a=`b " * 400_000,
+    "open calls": 'f("a", ' * 300_000,
+    "open elements": "<a b>" * 400_000,
+    "nested parentheses": "a=" + "(" * 2_000_000,
+    "doubling constants": "a='xy'\n" + "a=a+a\n" * 300_000,
+    "blanks": "a= " + " " * 2_000_000 + "a=b " * 10_000,
+    "sums": "a='b'\nb=" + "a+" * 1_000_000,
+}
+
+
+@pytest.mark.parametrize("case", LONG_LINES)
+def test_long_lines_take_linear_time(case):
+    """2 MB each; by the growth of the time, as machines differ: four times the text, at most about as many times the time."""
+    text = LONG_LINES[case]
+    took = []
+    for part in (text[: len(text) // 4], text):
+        started = time.process_time()
+        literal_spans(part)
+        took.append(time.process_time() - started)
+    assert took[1] < 30 and (took[1] < 0.5 or took[1] < 9 * took[0]), took
+
+
+def test_lexer_without_its_memory():
+    """Pairs are the same when every quote is tried and every bare run is measured anew."""
+    rng = random.Random(7)
+    tokens = ['"', "'", "`", "\\", "\\\"", "\n", " ", "=", ":", "+", "+=", "a", "b", "password", "Zx81!k", "(", ")", ",", '"""', "f", "{a}", "#", "//", "&", "é", ";", "!!str "]
+    for _ in range(6000):
+        text = "".join(rng.choice(tokens) for _ in range(rng.randrange(40)))
+        assert list(Lexer(text).pairs()) == list(Lexer(text, remember=False).pairs()), text
+
+
 def test_names():
     assert name_score("dbPassword") == name_score("DB_PASSWORD") > 0
     assert name_score("colour") == name_score("password_file") == 0
