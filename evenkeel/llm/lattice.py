@@ -6,7 +6,8 @@ pieces counted, and the counts refined over all segmentations. The probability o
 forward recursion in logarithms over the lattice of its pieces, and that of a text the
 product over its words and the end. Each distinct word is scored once in the corpus.
 
-Words meet their counts in slices of the words' hashes. A task sends its words slice by
+The commonest words, a fixed number of them, are scored once and summed where the texts are
+read. The others meet their counts in slices of the words' hashes. A task sends its words slice by
 slice, with the places of the texts that hold them, and a slice sends back sums for each
 text, so that texts themselves are never shuffled.
 """
@@ -14,6 +15,7 @@ text, so that texts themselves are never shuffled.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -35,6 +37,8 @@ ROUNDS = 2
 PLAIN_CHARS = 30  # of a word: longer ones are seldom worth the try without logarithms
 LEAST_CHANCE = 1e-250  # of a word without logarithms; what is lost below 1e-308 is no part of it
 SMOOTHING = 0.1
+AT_ONCE = 100_000  # words
+COMMON = 4096  # words whose scores every task has: the commonest, at any size of the corpus
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -46,14 +50,23 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+BYTE = re.compile("<0x[0-9A-F]{2}>")
+
+
 class Lattice:
-    """Log10 probabilities of words from piece scores."""
+    """Log10 probabilities of words from piece scores; the scores of bytes and of the end are no pieces of text."""
 
     def __init__(self, scores: dict[str, float]):
-        self.scores = scores
-        self.chances = {piece: 10**score for piece, score in scores.items()}
-        # Bytes are no pieces of text, and are looked up by their own names alone.
-        self.longest = max((len(piece) for piece in scores if not piece.startswith("<0x")), default=1)
+        self.bytes = {piece: score for piece, score in scores.items() if BYTE.fullmatch(piece)}
+        self.scores = {piece: score for piece, score in scores.items() if piece and piece not in self.bytes}
+        self.longest = max(map(len, self.scores), default=1)
+
+    def parts(self, char: str) -> list[str]:
+        """The bytes of a character that no piece has."""
+        return [f"<0x{b:02X}>" for b in char.encode("utf-8", "surrogatepass")]
+
+    def unknown(self, char: str) -> float:
+        return sum(self.bytes[part] for part in self.parts(char))
 
     def word(self, word: str) -> float:
         """Forward recursion: the logarithm of the sum over all segmentations.
@@ -73,25 +86,21 @@ class Lattice:
                 if score is not None:
                     into[j].append(here + score)
             if text[i] not in scores:
-                into[i + 1].append(here + sum(scores[f"<0x{b:02X}>"] for b in text[i].encode("utf-8", "surrogatepass")))
+                into[i + 1].append(here + self.unknown(text[i]))
         return _log_sum(into[n])
 
-
     def expected(self, word: str, times: int, into: dict[str, float]) -> None:
         """Adds how often each piece is used, over all segmentations by their probability."""
         text, scores, longest = MARK + word, self.scores, self.longest
         n = len(text)
-        if n <= PLAIN_CHARS and self._expected_plainly(text, times, into):
-            return
-        edges: list[list[tuple[int, str, float]]] = [[] for _ in range(n + 1)]  # by their end
+        edges: list[list[tuple[int, list[str], float]]] = [[] for _ in range(n + 1)]  # by their end
         ahead: list[float | None] = [0.0] + [None] * n
         for j in range(1, n + 1):
             for i in range(max(0, j - longest), j):
                 if ahead[i] is not None and (score := scores.get(text[i:j])) is not None:
-                    edges[j].append((i, text[i:j], score))
+                    edges[j].append((i, [text[i:j]], score))
             if ahead[j - 1] is not None and text[j - 1] not in scores:
-                parts = [f"<0x{b:02X}>" for b in text[j - 1].encode("utf-8", "surrogatepass")]
-                edges[j].append((j - 1, " ".join(parts), sum(scores[p] for p in parts)))
+                edges[j].append((j - 1, self.parts(text[j - 1]), self.unknown(text[j - 1])))
             if edges[j]:
                 ahead[j] = _log_sum([ahead[i] + score for i, _, score in edges[j]])
         # Share of the whole that passes each place, from the end backwards.
@@ -99,48 +108,148 @@ class Lattice:
         for j in range(n, 0, -1):
             if passing[j] <= 0:
                 continue
-            for i, piece, score in edges[j]:
+            for i, parts, score in edges[j]:
                 share = passing[j] * 10 ** (ahead[i] + score - ahead[j])
                 passing[i] += share
-                for part in piece.split(" "):
+                for part in parts:
                     into[part] = into.get(part, 0.0) + share
 
 
-    def _expected_plainly(self, text: str, times: int, into: dict[str, float]) -> bool:
-        """The same without logarithms. False, with nothing added, if the word's chance is too small for that."""
-        chances, longest, n = self.chances, self.longest, len(text)
-        ahead = [1.0] + [0.0] * n
-        edges = []
-        for i in range(n):
-            here = ahead[i]
-            if not here:
-                continue
-            for j in range(i + 1, min(n, i + longest) + 1):
-                piece = text[i:j]
-                chance = chances.get(piece)
-                if chance is not None:
-                    ahead[j] += here * chance
-                    edges.append((i, j, piece, chance))
-            if text[i] not in chances:
-                chance = 1.0
-                parts = [f"<0x{b:02X}>" for b in text[i].encode("utf-8", "surrogatepass")]
-                for part in parts:
-                    chance *= chances[part]
-                ahead[i + 1] += here * chance
-                edges.append((i, i + 1, " ".join(parts), chance))
-        if ahead[n] < LEAST_CHANCE:
-            return False
-        behind = [0.0] * n + [times / ahead[n]]
-        for i, j, piece, chance in reversed(edges):
-            share = chance * behind[j]
-            behind[i] += share
-            share *= ahead[i]
-            if piece[0] == "<" and " " in piece:
-                for part in piece.split(" "):
-                    into[part] = into.get(part, 0.0) + share
+class Lattices:
+    """The same for many words at once: words of one length are the rows of matrices.
+
+    A substring is looked up by a rolling 64-bit hash, which a table of the pieces' own
+    hashes checks. Chances are plain products; words that are long, or whose chance is too
+    small for that, go through ``Lattice`` one by one.
+    """
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+    ROWS = 1 << 17  # characters of the words of one step
+
+    def __init__(self, lattice: Lattice):
+        self.lattice = lattice
+        self.pieces = [piece for piece in lattice.scores if len(piece) <= PLAIN_CHARS]
+        self.chances = 10.0 ** np.array([lattice.scores[piece] for piece in self.pieces] or [0.0])
+        self.longest = max(map(len, self.pieces), default=1)
+        self.known = set(lattice.scores)
+        self._tables(np.array([self._hash(piece) for piece in self.pieces], np.uint64))
+
+    def _hash(self, piece: str) -> int:
+        out = 0
+        for c in piece:
+            out = (out * int(self.BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+        return out
+
+    def _tables(self, hashes: np.ndarray) -> None:
+        """Two tables of hash and place: a large one, and one for what shares a slot there."""
+        if len(np.unique(hashes)) < len(hashes):
+            raise ValueError("two pieces of one hash")
+        self.tables = []
+        left = np.arange(len(hashes))
+        for bits in (21, 16, 16, 16):
+            slots = self._slots(hashes[left], bits, len(self.tables))
+            told, place = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+            _, first = np.unique(slots, return_index=True)
+            told[slots[first]], place[slots[first]] = hashes[left[first]], left[first]
+            self.tables.append((bits, told, place))
+            left = np.delete(left, first)
+            if not len(left):
+                return
+        raise ValueError("too many pieces share their slots")
+
+    @staticmethod
+    def _slots(hashes: np.ndarray, bits: int, table: int) -> np.ndarray:
+        return ((hashes * np.uint64(0xD6E8FEB86659FD93 + 2 * table)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of the piece with each hash, or -1."""
+        out = np.full(hashes.shape, -1, np.int32)
+        for number, (bits, told, place) in enumerate(self.tables):
+            slots = self._slots(hashes, bits, number)
+            hit = (told[slots] == hashes) & (place[slots] >= 0)
+            out[hit] = place[slots[hit]]
+        return out
+
+    def _edges(self, chars: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """By length of a piece: places and chances at each start; and the characters that are bytes."""
+        w, n = chars.shape
+        upto = np.zeros((w, n + 1), np.uint64)
+        for k in range(n):
+            upto[:, k + 1] = upto[:, k] * self.BASE + chars[:, k] + np.uint64(1)
+        places, chances, power = [], [], 1
+        for length in range(1, min(self.longest, n) + 1):
+            power = power * int(self.BASE) & 0xFFFFFFFFFFFFFFFF
+            found = self._places(upto[:, length:] - upto[:, : n + 1 - length] * np.uint64(power))
+            places.append(found)
+            chances.append(np.where(found >= 0, self.chances[found], 0.0))
+        unknown = places[0] < 0
+        for char in np.unique(chars[unknown]).tolist():
+            at = unknown & (chars == char)
+            if chr(char) in self.known:
+                unknown &= ~at  # a piece that is not in the tables; never so for one character
             else:
-                into[piece] = into.get(piece, 0.0) + share
-        return True
+                chances[0][at] = 10.0 ** self.lattice.unknown(chr(char))
+        return places, chances, unknown
+
+    def _ahead(self, chances: list[np.ndarray], w: int, n: int) -> np.ndarray:
+        ahead = np.zeros((w, n + 1))
+        ahead[:, 0] = 1.0
+        for j in range(1, n + 1):
+            for length in range(1, min(len(chances), j) + 1):
+                ahead[:, j] += ahead[:, j - length] * chances[length - 1][:, j - length]
+        return ahead
+
+    def _steps(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places in ``words``, characters) of words of one length; the long ones are left out."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        for n in np.unique(lengths[lengths <= PLAIN_CHARS]).tolist():
+            at = np.flatnonzero(lengths == n)
+            step = max(1, self.ROWS // n)
+            for k in range(0, len(at), step):
+                own = at[k : k + step]
+                text = "".join([MARK + words[i] for i in own.tolist()])
+                chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n)
+                yield own, chars.astype(np.uint64)
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Log10 probability of each word."""
+        out = np.full(len(words), np.nan)
+        for at, chars in self._steps(words):
+            _, chances, _ = self._edges(chars)
+            last = self._ahead(chances, *chars.shape)[:, -1]
+            fine = last >= LEAST_CHANCE
+            out[at[fine]] = np.log10(last[fine])
+        for i in np.flatnonzero(np.isnan(out)).tolist():
+            out[i] = self.lattice.word(words[i])
+        return out
+
+    def expected(self, words: list[str], times: list[int], into: dict[str, float]) -> None:
+        """Adds how often each piece is used in all ``words``, each as often as ``times`` says."""
+        counts, numbers, left = np.zeros(len(self.pieces)), np.array(times, float), np.ones(len(words), bool)
+        for at, chars in self._steps(words):
+            w, n = chars.shape
+            places, chances, unknown = self._edges(chars)
+            ahead = self._ahead(chances, w, n)
+            fine = ahead[:, n] >= LEAST_CHANCE
+            left[at[fine]] = False
+            behind = np.zeros((w, n + 1))
+            behind[:, n] = np.where(fine, numbers[at] / np.where(fine, ahead[:, n], 1.0), 0.0)
+            for i in range(n - 1, -1, -1):
+                for length in range(1, min(len(chances), n - i) + 1):
+                    behind[:, i] += chances[length - 1][:, i] * behind[:, i + length]
+            for length, (found, chance) in enumerate(zip(places, chances, strict=True), 1):
+                share = ahead[:, : n + 1 - length] * chance * behind[:, length:]
+                hit = found >= 0
+                counts += np.bincount(found[hit], share[hit], len(counts))
+                if length == 1 and unknown.any():
+                    which, inverse = np.unique(chars[unknown], return_inverse=True)
+                    for char, total in zip(which.tolist(), np.bincount(inverse, share[unknown]).tolist(), strict=True):
+                        for part in self.lattice.parts(chr(char)):
+                            into[part] = into.get(part, 0.0) + total
+        for i in np.flatnonzero(counts).tolist():
+            into[self.pieces[i]] = into.get(self.pieces[i], 0.0) + float(counts[i])
+        for i in np.flatnonzero(left).tolist():
+            self.lattice.expected(words[i], times[i], into)
 
 
 def _log_sum(terms: list[float]) -> float:
@@ -229,10 +338,15 @@ def _expected_counts(counts: DataFrame, scores: dict[str, float]) -> dict[str, f
     shared = counts.sparkSession.sparkContext.broadcast(scores)  # the size of the vocabulary
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, total = Lattice(shared.value), {}
+        lattices, total = Lattices(Lattice(shared.value)), {}
+        words, times = [], []
         for batch in batches:
-            for word, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist(), strict=True):
-                lattice.expected(word.decode("utf-8", "surrogatepass"), c, total)
+            words += [word.decode("utf-8", "surrogatepass") for word in batch.column("word").to_pylist()]
+            times += batch.column("c").to_pylist()
+            if len(words) >= AT_ONCE:
+                lattices.expected(words, times, total)
+                words, times = [], []
+        lattices.expected(words, times, total)
         schema = pa.schema([("piece", pa.string()), ("n", pa.float64())])
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.float64())], schema=schema)
 
@@ -252,21 +366,22 @@ def _batch(columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, DEALT.types, strict=True)], schema=DEALT)
 
 
-def _deal(slices: int):
+def _deal(slices: int, common):
     """Texts to rows of a slice: words, number of texts of each, these texts' places, counts there.
 
-    The texts of a flush themselves go in a slice of their own below 0: ids, which are
-    NULL, numbers of words.
+    Words of ``common`` are summed here. The texts of a flush themselves go in a slice of
+    their own below 0: ids, which are NULL, numbers of words, sums of their common words.
     """
 
-    def flushed(number: int, texts: list[tuple[int | None, Counter, int]]) -> Iterator[pa.RecordBatch]:
+    def flushed(number: int, texts: list[tuple[int | None, dict, int, tuple]]) -> Iterator[pa.RecordBatch]:
         ids = np.array([0 if i is None else i for i, *_ in texts], "<i8")
         none = np.array([i is None for i, *_ in texts], np.uint8)
-        sizes = np.array([n for *_, n in texts], "<i8")
-        yield _batch([[-1 - number], [number], [ids.tobytes()], [none.tobytes()], [sizes.tobytes()], [None]])
+        sizes = np.array([n for _, _, n, _ in texts], "<i8")
+        sums = np.array([s for *_, s in texts], "<f8")
+        yield _batch([[-1 - number], [number], [ids.tobytes()], [none.tobytes()], [sizes.tobytes()], [sums.tobytes()]])
         place: dict[bytes, int] = {}
         words, owners, counts = [], [], []
-        for k, (_, own, _) in enumerate(texts):
+        for k, (_, own, _, _) in enumerate(texts):
             words += [place.setdefault(w, len(place)) for w in own]
             counts += own.values()
             owners.append(np.full(len(own), k, np.uint16))
@@ -300,12 +415,22 @@ def _deal(slices: int):
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        texts: list[tuple[int | None, Counter, int]] = []
+        scored = common.value
+        texts: list[tuple[int | None, dict, int, tuple]] = []
         size = 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = words_of(text)
-                texts.append((doc_id, Counter(words), len(words)))
+                rare, base, score, known = {}, [], [], 0
+                for word, times in Counter(words).items():
+                    row = scored.get(word)
+                    if row is None:
+                        rare[word] = times
+                    else:
+                        base.append(times * row[0])
+                        score.append(times * row[1])
+                        known += times
+                texts.append((doc_id, rare, len(words), (math.fsum(base), math.fsum(score), known)))
                 size += len(words)
                 if size >= FLUSH_WORDS or len(texts) >= FLUSH_TEXTS:
                     yield from flushed(number, texts)
@@ -326,19 +451,17 @@ def _in_slice(shared):
         if columns["slice"][0] < 0:
             return dealt.select(DEALT.names).cast(DEALT)
         scores, n, v = shared.value
-        lattice = Lattice(scores)
+        lattices = Lattices(Lattice(scores))
         counts = dict(zip(counted.column("word").to_pylist(), counted.column("c").to_pylist(), strict=True))
+        names = list({word for words in columns["a"] for word in words.split(b" ")})
+        own = lattices.words([word.decode("utf-8", "surrogatepass") for word in names]).tolist()
         known: dict[bytes, tuple[float, float, int]] = {}
+        for word, score in zip(names, own, strict=True):
+            c = counts.get(word, 0)
+            known[word] = (math.log10((c + 1) / (n + v + 1)), score, c > 0)
         out: dict[str, list] = {name: [] for name in DEALT.names}
         for where, flush, words, numbers, owners, times in zip(*columns.values(), strict=True):
-            rows = []
-            for word in words.split(b" "):
-                row = known.get(word)
-                if row is None:
-                    c = counts.get(word, 0)
-                    base = math.log10((c + 1) / (n + v + 1))
-                    row = known[word] = (base, lattice.word(word.decode("utf-8", "surrogatepass")), c > 0)
-                rows.append(row)
+            rows = [known[word] for word in words.split(b" ")]
             numbers = np.frombuffer(numbers, "<u4")
             values = np.repeat(np.array(rows, np.float64), numbers, axis=0) * np.frombuffer(times, "<u4")[:, None]
             owners = np.frombuffer(owners, np.uint16)
@@ -379,6 +502,8 @@ def _of_flush(shared, ends: int):
         base = np.full(len(ids), math.log10((ends + 1) / (n + v + 1)))
         score = np.full(len(ids), scores[""])
         known = np.full(len(ids), int(ends > 0), np.int64)
+        common = np.frombuffer(columns["d"][head], "<f8").reshape(-1, 3)
+        base, score, known = base + common[:, 0], score + common[:, 1], known + common[:, 2].astype(np.int64)
         for i in order[1:]:
             at = np.frombuffer(columns["a"][i], np.uint16)
             base[at] += np.frombuffer(columns["b"][i], np.float64)
@@ -411,7 +536,12 @@ def lm_scores(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_
     shared = spark.sparkContext.broadcast((scores, n, v))  # the size of the vocabulary
     slices = max(8, -(-rows["all"] // texts_in_slice))
     sliced = counts.select("word", "c", (F.crc32("word") % slices).alias("slice"))
-    dealt = named.mapInArrow(_deal(slices), DEALT_SQL)
+    lattice = Lattice(scores)
+    common = {
+        bytes(r.word): (math.log10((r.c + 1) / (n + v + 1)), lattice.word(bytes(r.word).decode("utf-8", "surrogatepass")))
+        for r in counts.orderBy(F.desc("c"), "word").limit(COMMON).collect()
+    }
+    dealt = named.mapInArrow(_deal(slices, spark.sparkContext.broadcast(common)), DEALT_SQL)
     told = dealt.groupBy("slice").cogroup(sliced.groupBy("slice")).applyInArrow(_in_slice(shared), DEALT_SQL)
     return told.groupBy("flush").applyInArrow(
         _of_flush(shared, rows.ends),

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -67,19 +68,46 @@ def test_all_segmentations():
 
 
 @pytest.mark.parametrize("word", ["🙂" * 29, "🙂" * 5 + "a" + "漢" * 3, "漢" * 9 + "🙂", "🙂" * 7, "a🙂b" * 5])
-def test_words_of_unknown_characters(monkeypatch, word):
+def test_words_of_unknown_characters(word):
     # Bytes seen once among 1e10 pieces: 28 of them are less than the smallest number.
     scores = {"▁": -1.0, "▁a": -0.5, "a": -0.7, "b": -1.1, "": -2.0, **{f"<0x{i:02X}>": -10.0 - i / 1000 for i in range(256)}}
     used, expected = {}, {}
-    op.Lattice(scores).expected(word, 3, used)
-    monkeypatch.setattr(op, "PLAIN_CHARS", 0)
-    op.Lattice(scores).expected(word, 3, expected)
+    lattice = op.Lattice(scores)
+    op.Lattices(lattice).expected([word], [3], used)
+    lattice.expected(word, 3, expected)
     assert used.keys() == expected.keys()
     assert all(math.isclose(used[k], expected[k], rel_tol=1e-9, abs_tol=1e-12) for k in used)
     fallback = sum(n for piece, n in used.items() if piece.startswith("<0x"))
     assert math.isclose(fallback, 3 * sum(len(c.encode()) for c in word if c not in scores), rel_tol=1e-9)
 
 
+def test_byte_pieces_are_no_text():
+    scores = {c: -4.0 for c in "▁<0x41>"} | {f"<0x{i:02X}>": -1.0 for i in range(256)} | {"": -0.5}
+    lattice = op.Lattice(scores)
+    assert math.isclose(lattice.word("<0x41>"), -28.0) and math.isclose(op.Lattices(lattice).words(["<0x41>"])[0], -28.0)
+    assert math.isclose(lattice.word("A"), -5.0)
+    used = {}
+    op.Lattices(lattice).expected(["<0x41>"], [2], used)
+    assert used == pytest.approx({c: 2.0 * "▁<0x41>".count(c) for c in "▁<0x41>"})
+
+
+def test_many_words_at_once_equal_one_by_one():
+    rng = random.Random(3)
+    letters = "abcdeé漢🙂"
+    pieces = {"".join(rng.choice("▁abcd漢") for _ in range(rng.randrange(1, 6))) for _ in range(400)} | set("▁abc漢")
+    scores = {p: -rng.random() * 6 - 0.5 for p in sorted(pieces)} | {f"<0x{i:02X}>": -7.0 - i / 500 for i in range(256)} | {"": -1.0}
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 45))) for _ in range(600)] + ["", "a", "🙂" * 20]
+    times = [rng.randrange(1, 9) for _ in words]
+    lattice = op.Lattice(scores)
+    assert all(math.isclose(a, lattice.word(w), rel_tol=1e-9) for a, w in zip(op.Lattices(lattice).words(words), words, strict=True))
+    together, single = {}, {}
+    op.Lattices(lattice).expected(words, times, together)
+    for word, n in zip(words, times, strict=True):
+        lattice.expected(word, n, single)
+    for piece in single.keys() | together.keys():
+        assert math.isclose(single.get(piece, 0), together.get(piece, 0), rel_tol=1e-8, abs_tol=1e-9)
+
+
 @pytest.mark.parametrize("flush", [3, op.FLUSH_TEXTS])
 def test_rows_of_all_kinds(spark, monkeypatch, flush):
     monkeypatch.setattr(op, "FLUSH_TEXTS", flush)
