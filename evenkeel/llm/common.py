@@ -25,8 +25,9 @@ def _marks() -> str:
     return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True))
 
 
+MARKS = _marks()
 # A word of letters; a mark belongs to the letter before it.
-LETTERS = rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*"
+LETTERS = rf"[^\W\d_]+(?:[{MARKS}]+[^\W\d_]*)*"
 
 
 def free_name(df: DataFrame, name: str) -> str:

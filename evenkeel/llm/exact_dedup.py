@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import stored
+from evenkeel.llm.common import free_name, stored
 
 MAX_DEPTH = 56
 
@@ -129,22 +129,13 @@ def exact_dedup(
 def keep_first_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with the kept row of each text alone, all columns as they were.
 
-    Of rows that repeat both id and text, one stays.
+    Of rows that repeat both id and text, one stays. Any column names are allowed.
     """
-    kept = (
-        exact_dedup(docs, id_column, text_column)
-        .where("kept")
-        .select(F.col(id_column).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-        .distinct()
-    )
+    found = exact_dedup(docs, id_column, text_column).where("kept")
+    shown = lambda name: (F.coalesce(F.col(name).cast("string"), F.lit("")), F.col(name).isNull())
+    names = [free_name(docs, name) for name in ("row_id", "row_null", "row_sha")]
+    kept = found.select(*[c.alias(n) for c, n in zip((*shown(id_column), F.col("text_sha256")), names, strict=True)]).distinct()
     sha = F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256)
-    marked = docs.withColumns({"_row_id": F.col(id_column), "_row_sha": sha})
-    return (
-        marked.join(
-            kept,
-            F.col("_row_id").eqNullSafe(F.col("_kept_id")) & (F.col("_row_sha") == F.col("_kept_sha")),
-            "left_semi",
-        )
-        .dropDuplicates(["_row_id", "_row_sha"])
-        .select(*docs.columns)
-    )
+    marked = docs.withColumns(dict(zip(names, (*shown(id_column), sha), strict=True)))
+    # The join leaves rows where they can be told apart without moving again.
+    return marked.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from evenkeel.llm.common import MARKS, free_name
+
 CHARS = 40_000  # of sample text for each language, however many there are
 TEXTS = 128  # sampled texts for each language
 SHORT = 8_000  # characters of a text that the sample prefers
@@ -26,11 +28,12 @@ BLOCK = 256
 AT_ONCE = 2_000_000  # characters parsed in step
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
-NO_LETTERS = re.compile(r"[\W\d_]+")
+# Combining marks are parts of the words of many scripts.
+NO_LETTERS = re.compile(rf"(?:(?![{MARKS}])[\W\d_])+")
 
 
 def plain(text: str) -> str:
-    """Letters in lower case, each run of anything else one space: signs tell no language."""
+    """Letters and their marks in lower case, each run of anything else one space: signs tell no language."""
     return NO_LETTERS.sub(" ", text.lower())
 
 
@@ -287,6 +290,7 @@ def with_language(docs: DataFrame, samples: dict[str, list[str]], text_column: s
         names, scores = _PARSERS[key].predict([None if t is None else t for t in texts])
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "_told")]
-    told = docs.select(*kept, predict(F.col(text_column)).alias("_told"))
-    return told.select(*kept, "_told.lang_pred", "_told.score")
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    name = free_name(docs, "told")
+    told = docs.select(*kept, predict(F.col(text_column)).alias(name))
+    return told.select(*kept, f"{name}.lang_pred", f"{name}.score")

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evenkeel.functions.names import quoted
 from evenkeel.llm.common import WORD, stored
 
 MOST_LEAVES = 100_000  # leaves on the driver and broadcast
@@ -97,9 +98,13 @@ def mix(
     seed: int = 0,
     id_column: str = "doc_id",
     text_column: str = "text",
+    marks: bool = True,
 ) -> DataFrame:
     """Rows of ``docs``, each as often as it is taken, with ``_mix_<level>``, ``_mix_tokens`` and ``_mix_epoch``.
 
+    Without ``marks`` it has the columns of ``docs`` alone, whatever their names; with them
+    columns of ``docs`` that have these names are replaced.
+
     ``budget`` up to 1 is a share of all tokens, above 1 a number of them. Tokens are
     words. NULL texts have none; a text without tokens comes along where its place in the
     order lies within the prefix. A NULL level is a node of its own. Rows of the same id
@@ -108,13 +113,15 @@ def mix(
     spark = docs.sparkSession
     names = list(levels)
     text = F.coalesce(F.col(text_column), F.lit(""))
-    marks = {
+    told = {
         **{f"_mix_{name}": column.cast("string") for name, column in levels.items()},
         "_mix_tokens": F.regexp_count(text, F.lit(WORD)).cast("long"),
         "_mix_place": F.xxhash64(F.col(id_column), text),
     }
-    marked = docs.withColumns(marks)
-    thin = stored(marked.select(*marks), "places")
+    # The row itself is one column, so that no name of its own is in the way.
+    row = F.struct(*[docs[quoted(name)] for name in docs.columns]).alias("_mix_row")
+    marked = docs.select(row, *[column.alias(name) for name, column in told.items()])
+    thin = stored(marked.drop("_mix_row"), "places")
     leaf = [f"_mix_{name}" for name in names]
     totals = thin.groupBy(*leaf).agg(F.sum("_mix_tokens").alias("tokens"))
     rows = totals.limit(MOST_LEAVES + 1).collect()
@@ -166,11 +173,13 @@ def mix(
     # Without an end the prefix is the whole epoch.
     taken = (F.col("_plan_rest") > 0) & F.coalesce(before, F.lit(True))
     copies = F.col("_plan_whole") + taken.cast("int")
+    added = [*leaf, "_mix_tokens", "_mix_epoch"] if marks else []
+    kept = [F.col("_mix_row")[name].alias(name) for name in docs.columns if name not in added]
     return (
         chosen.withColumn("_mix_copies", copies)
         .where("_mix_copies > 0")
         .withColumn("_mix_epoch", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-        .select(*docs.columns, *leaf, "_mix_tokens", "_mix_epoch")
+        .select(*kept, *added)
     )
 
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import offsets_of, stored
+from evenkeel.llm.common import free_name, offsets_of, stored
 from evenkeel.llm.components import components
 from evenkeel.llm.shingles import shingle_sets
 
@@ -535,12 +535,13 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: st
     """``docs`` with the row of the smallest id of each component, all columns as they were.
 
     Rows without words stay. Rows that share an id stay or go together; a NULL id stays
-    only in a component of NULL ids.
+    only in a component of NULL ids. Any column names are allowed.
     """
+    name = free_name(docs, "kept_id")
     kept = (
         ngram_join(docs, id_column, text_column)
         .where(F.col(id_column).eqNullSafe(F.col("component_id")))
-        .select(F.col(id_column).alias("_kept_id"))
+        .select(F.col(id_column).alias(name))
         .distinct()
     )
-    return docs.join(kept, F.col(id_column).eqNullSafe(F.col("_kept_id")), "left_semi")
+    return docs.join(kept, F.col(id_column).eqNullSafe(F.col(name)), "left_semi")

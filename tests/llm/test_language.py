@@ -124,3 +124,21 @@ def test_held_out_accuracy(spark, told):
     assert all(r.held_out == held[r.doc_id] for r in told)
     out = [r for r in told if r.held_out]
     assert sum(r.lang_pred == lang[r.doc_id] for r in out) / len(out) > 0.95
+
+
+def test_combining_marks_stay_in_their_words():
+    assert plain("नमस्ते, दुनिया!") == "नमस्ते दुनिया "
+    assert plain("ที่นี่ 12 ดี") == "ที่นี่ ดี" and plain("e\u0301te\u0301 - x") == "e\u0301te\u0301 x"
+
+
+def test_scripts_that_need_their_marks(spark):
+    """Two languages of one script with marks, for two scripts."""
+    samples = {
+        "hi": ["यह एक छोटा सा वाक्य है और हम यहाँ हिन्दी में लिखते हैं क्योंकि यह भाषा हमारी है"],
+        "mr": ["हे एक छोटे वाक्य आहे आणि आम्ही इथे मराठीत लिहितो कारण ही भाषा आमची आहे"],
+        "th": ["นี่คือประโยคสั้น ๆ และเราเขียนที่นี่เป็นภาษาไทยเพราะว่าภาษานี้เป็นของเรา"],
+        "lo": ["ນີ້ແມ່ນປະໂຫຍກສັ້ນ ແລະພວກເຮົາຂຽນຢູ່ທີ່ນີ້ເປັນພາສາລາວເພາະວ່າພາສານີ້ເປັນຂອງພວກເຮົາ"],
+    }
+    texts = {"hi": "हम हिन्दी में वाक्य लिखते हैं", "mr": "आम्ही मराठीत वाक्य लिहितो आहे", "th": "เราเขียนภาษาไทย", "lo": "ພວກເຮົາຂຽນພາສາລາວ"}
+    df = spark.createDataFrame(list(texts.items()), "lang string, text string")
+    assert {r.lang: r.lang_pred for r in with_language(df, samples).collect()} == {name: name for name in texts}
