@@ -31,8 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Most of the words, by domain, language and source; no document twice."""
-    taken = mixing.mix(docs, mixing.document_levels(), mixing.WEIGHTS, MIX_BUDGET, epochs=1, seed=MIX_SEED)
-    return taken.select(*docs.columns)
+    return mixing.mix(docs, mixing.document_levels(), mixing.WEIGHTS, MIX_BUDGET, epochs=1, seed=MIX_SEED, marks=False)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
