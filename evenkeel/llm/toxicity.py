@@ -320,48 +320,32 @@ def _lexicon(labelled: DataFrame) -> tuple[dict[str, float], float]:
     return {r.entry: r.odds for r in found}, totals.toxic / (totals.toxic + totals.clean)
 
 
-def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    text_column: str = "text",
-    id_column: str = "doc_id",
-    most_toxic: int = SAMPLE_TOXIC,
-    most_clean: int = SAMPLE_CLEAN,
-    learnable: Column | None = None,
-) -> Model:
-    """Model from ``labels`` (doc_id, toxic) and all texts of ``docs``.
+@dataclass
+class _Prepared:
+    """What is learnt from labels before votes are counted."""
 
-    The caller leaves out labels that must not be learnt from; ``learnable``, a condition on
-    ``doc_id``, spares texts that no label is for the way to the labels. Rows of ``labels``
-    without an id or with a label other than 0 and 1 do not count; of several labels of an
-    id, and of equal texts, the largest does. Without toxic or without clean labelled texts
-    the fixed lists alone decide. ``most_toxic`` and ``most_clean`` bound the texts that the
-    classifier is fitted to; entries and votes are counted over all.
-    """
-    spark = docs.sparkSession
-    named = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    labelled: DataFrame
+    names: list[str]
+    voters: list[int]
+    share: float
+
+    def shared(self):
+        lexicon = Lexicon({name: i for i, name in enumerate(self.names)})
+        return self.labelled.sparkSession.sparkContext.broadcast((lexicon, self.voters))  # bounded by RARE
+
+
+def _prepare(named: DataFrame, labels: DataFrame, learnable: Column | None) -> _Prepared:
     one = _one_label(labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")))
     labelled = _labelled(named, one, F.lit(True) if learnable is None else learnable)
     odds, share = _lexicon(labelled)
     names = [*SEED_WORDS, *[entry for entry in odds if entry not in SEED_WORDS]]
-    lexicon = Lexicon({name: i for i, name in enumerate(names)})
-    n_seed = len(SEED_WORDS)
-    voters = [1 if i < n_seed else 1 << voter_of(e, odds[e]) for i, e in enumerate(names)]
-    n_voters = len(VOTERS)
-    shared = spark.sparkContext.broadcast((lexicon, voters))  # bounded by RARE
+    voters = [1 if i < len(SEED_WORDS) else 1 << voter_of(e, odds[e]) for i, e in enumerate(names)]
+    return _Prepared(labelled, names, voters, share)
 
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, voters = shared.value
-        counts: Counter = Counter()
-        for batch in batches:
-            counts.update(
-                lexicon.votes(pattern_bits(text), lexicon.of_words(words_of(text)), voters) for text in texts_of(batch.column("text"))
-            )
-        yield pa.RecordBatch.from_pydict(
-            {"votes": list(counts), "n": list(counts.values())}, schema=pa.schema([("votes", pa.int64()), ("n", pa.int64())])
-        )
 
-    patterns = named.select("text").mapInArrow(vote, "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")).collect()
+def _fit(prepared: _Prepared, patterns: dict[int, int], most: tuple[int, int]) -> Model:
+    """Label model from numbers of texts by votes, classifier from its posterior labels of the sample."""
+    shared, names, n_seed, n_voters = prepared.shared(), prepared.names, len(SEED_WORDS), len(VOTERS)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, voters = shared.value
@@ -371,7 +355,7 @@ def train(
             votes = [lexicon.votes(p, o, voters) for p, o in zip(batch.column("patterns").to_pylist(), own, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32())), pa.array(votes, pa.int64()), batch.column("toxic")], schema=schema)
 
-    sample = _sample(labelled, (most_clean, most_toxic)).select("words", "patterns", "toxic", "h", "g")
+    sample = _sample(prepared.labelled, most).select("words", "patterns", "toxic", "h", "g")
     rows = sample.orderBy("h", "g").mapInArrow(found, "entries array<int>, votes long, toxic int").collect()
     bits = lambda masks: (np.array(masks, np.int64)[:, None] >> np.arange(n_voters)) & 1
     model = LabelModel(n_voters, abstaining=True)
@@ -380,17 +364,85 @@ def train(
     weights = start
     if rows:
         fired, gold = bits([r.votes for r in rows]), np.array([r.toxic for r in rows])
-        model.start(fired, gold, share)
-        model.fit(bits([r.votes for r in patterns]), np.array([r.n for r in patterns], float))
+        model.start(fired, gold, prepared.share)
+        model.fit(bits(list(patterns)), np.array(list(patterns.values()), float))
         # A label is one more voter, and a good one.
         odds_of_label = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY)) * np.where(gold == 1, 1, -1)
         p = model.posterior(fired)
         p = 1 / (1 + (1 - p) / np.maximum(p, 1e-12) * np.exp(-odds_of_label))
         # Each class weighs as in all labels, whatever its part of the sample.
-        part = gold.mean()
+        part, share = gold.mean(), prepared.share
         weight = np.where(gold == 1, share / max(part, 1e-12), (1 - share) / max(1 - part, 1e-12))
         weights = fit_linear([r.entries for r in rows], p, weight, start)
-    return Model(lexicon, weights, model)
+    return Model(Lexicon({name: i for i, name in enumerate(names)}), weights, model)
+
+
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    text_column: str = "text",
+    id_column: str = "doc_id",
+    most_toxic: int = SAMPLE_TOXIC,
+    most_clean: int = SAMPLE_CLEAN,
+    learnable: Column | None = None,
+) -> Model:
+    """Model from ``labels`` (doc_id, toxic) and all texts of ``docs``.
+
+    The caller leaves out labels that must not be learnt from; ``learnable``, a condition on
+    ``doc_id``, spares texts that no label is for the way to the labels. Rows of ``labels``
+    without an id or with a label other than 0 and 1 do not count; of several labels of an
+    id, and of equal texts, the largest does. Without toxic or without clean labelled texts
+    the fixed lists alone decide. ``most_toxic`` and ``most_clean`` bound the texts that the
+    classifier is fitted to; entries and votes are counted over all.
+    """
+    named = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    prepared = _prepare(named, labels, learnable)
+    votes = named.select(_found(prepared.shared(), "text").alias("found")).groupBy("found.votes").agg(F.count("*").alias("n"))
+    return _fit(prepared, {r.votes: r.n for r in votes.collect()}, (most_clean, most_toxic))
+
+
+def _found(shared, text_column: str) -> Column:
+    """Lexicon entries and votes of each text."""
+
+    @F.pandas_udf("entries array<int>, votes long")
+    def found(texts: pd.Series) -> pd.DataFrame:
+        lexicon, voters = shared.value
+        own = [lexicon.of_words(words_of(text)) for text in texts]
+        votes = [lexicon.votes(pattern_bits(text), o, voters) for text, o in zip(texts, own, strict=True)]
+        return pd.DataFrame({"entries": [sorted(o) for o in own], "votes": np.array(votes, np.int64)})
+
+    return found(F.coalesce(F.col(text_column), F.lit("")))
+
+
+def train_and_score(
+    docs: DataFrame,
+    labels: DataFrame,
+    column: str,
+    keep: list[str],
+    learnable: Column | None = None,
+    text_column: str = "text",
+    id_column: str = "doc_id",
+) -> DataFrame:
+    """Columns ``keep`` of ``docs`` and the score of each text, by a model as of ``train``.
+
+    Texts are read for their votes and their scores once: what the lexicon finds in them is
+    stored with the kept columns.
+    """
+    named = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    prepared = _prepare(named, labels, learnable)
+    mark = free_name(docs, "found")
+    marked = stored(docs.withColumn(mark, _found(prepared.shared(), text_column)).select(*keep, mark), "found")
+    votes = marked.groupBy(F.col(mark)["votes"].alias("votes")).agg(F.count("*").alias("n")).collect()
+    model = _fit(prepared, {r.votes: r.n for r in votes}, (SAMPLE_CLEAN, SAMPLE_TOXIC))
+    weights = docs.sparkSession.sparkContext.broadcast(model.weights)  # one number for each entry
+
+    @F.pandas_udf("double")
+    def score(entries: pd.Series) -> pd.Series:
+        own = weights.value
+        z = np.array([own[-1] + math.fsum(own[np.asarray(e, np.int64)].tolist()) for e in entries], float)
+        return pd.Series(1 / (1 + np.exp(-np.clip(z, -60, 60))), index=entries.index)
+
+    return marked.select(*keep, score(F.col(mark)["entries"]).alias(column))
 
 
 def with_score(docs: DataFrame, model: Model, column: str, text_column: str = "text") -> DataFrame:
@@ -420,5 +472,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Any column names are allowed.
     """
     score = free_name(docs, "toxic_score")
-    scored = with_score(docs, train(docs, training_labels(labels), learnable=learnable()), score)
+    scored = train_and_score(docs, training_labels(labels), score, docs.columns, learnable())
     return scored.where(F.col(score) < 0.5).select(*docs.columns)

@@ -3,7 +3,7 @@ from collections import Counter
 import numpy as np
 
 from evenkeel.llm.q_toxicity import op10_toxicity
-from evenkeel.llm.toxicity import PATTERNS, VOTERS, LabelModel, drop_toxic, entries, fit_linear, pattern_bits, train, with_score
+from evenkeel.llm.toxicity import PATTERNS, VOTERS, LabelModel, drop_toxic, entries, fit_linear, pattern_bits, train, train_and_score, with_score
 
 DATA = "/root/testdata"
 DOCS = "doc_id long, text string, score string, toxic string"
@@ -46,6 +46,8 @@ def test_without_labels_the_fixed_list_decides(spark):
     assert sorted((r.result >= 0.5) for r in scored) == [False] * 3 + [True] * 3
     kept = drop_toxic(docs, labels)
     assert kept.columns == docs.columns and kept.count() == 3
+    stored = train_and_score(docs, labels, "result", ["doc_id"]).collect()
+    assert sorted(map(str, stored)) == sorted(f"Row(doc_id={r.doc_id}, result={r.result})" for r in scored)
     assert with_score(docs.limit(0), train(docs.limit(0), labels), "result").count() == 0
 
 
