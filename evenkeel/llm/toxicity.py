@@ -57,7 +57,7 @@ BANDS = (0.5, 1.0, 2.0)  # least odds of an entry, and of stronger ones: logarit
 RARE = 0.0005  # of the toxic texts: least share that an entry stands in
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
 LABEL_ACCURACY = 0.998
-FLUSH_ENTRIES = 400_000
+FLUSH_ENTRIES = 200_000
 KNOWN_WORDS = 20_000  # looked-up words that a worker holds, for each of its models
 WORD = re.compile(LETTERS)
 
