@@ -28,13 +28,16 @@ BLOCK = 256
 AT_ONCE = 2_000_000  # characters parsed in step
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
-# Combining marks are parts of the words of many scripts.
-NO_LETTERS = re.compile(rf"(?:(?![{MARKS}])[\W\d_])+")
+NO_LETTERS = re.compile(r"[\W\d_]+")
+# Combining marks are parts of the words of many scripts; most texts have none.
+MARK = re.compile(f"[{MARKS}]")
+NEITHER = re.compile(rf"(?:(?![{MARKS}])[\W\d_])+")
 
 
 def plain(text: str) -> str:
     """Letters and their marks in lower case, each run of anything else one space: signs tell no language."""
-    return NO_LETTERS.sub(" ", text.lower())
+    low = text.lower()
+    return (NEITHER if MARK.search(low) else NO_LETTERS).sub(" ", low)
 
 
 class Alphabet:
