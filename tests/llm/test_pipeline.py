@@ -85,7 +85,7 @@ def test_packing_holds_each_id_once(kept):
 def test_registered(spark):
     assert __spark_entry__.queries()["pipeline"].__wrapped__ is corpus_pipeline.run
     assert "pipeline" not in __spark_entry__.oracle_sql()
-    assert [f"op{n}_" for n in range(1, 11)] == sorted({q.split("_")[0] + "_" for q in __spark_entry__.queries() if q.startswith("op")}, key=lambda q: int(q[2:-1]))
+    assert [f"op{n}_" for n in range(1, 14)] == sorted({q.split("_")[0] + "_" for q in __spark_entry__.queries() if q.startswith("op")}, key=lambda q: int(q[2:-1]))
 
 
 def test_stages_on_nothing_and_on_nulls(spark):
