@@ -49,7 +49,7 @@ def made(seed, n=400):
 @pytest.mark.parametrize("size", [40, 150, 1000, 100_000])
 @pytest.mark.parametrize("seed", range(2))
 def test_any_split_size_gives_pythons_rows_in_order(spark, tmp_path, split_at, size, seed, monkeypatch):
-    text = ("﻿" if seed else "") + made(seed, 60 if size < 100 else 400)
+    text = ("﻿" if seed else "") + made(seed, 60 if size < 1000 else 400)
     (tmp_path / "in.csv").write_bytes(text.encode())
     split_at(size)
     if seed:
