@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from evenkeel.llm.common import documents
-from evenkeel.llm.quality import LEAST_TEXTS, SLACK, SPREADS, TWO_SIDED, quality
+from evenkeel.llm.quality import PARENT_TEXTS, SLACK, SPREADS, TWO_SIDED, quality
 
 COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -21,19 +21,19 @@ def _oracle() -> str:
     )
     long = " UNION ALL ".join(f"SELECT lang, source, '{name}' AS measure, {name} AS value FROM measures" for name in SLACK)
 
-    def quartiles(by: str) -> str:
-        names = by + ", " if by else ""
+    def shares(parent: str, *by: str) -> str:
+        names = "".join(f"{name}, " for name in by)
+        same = " AND ".join(f"g.{name} IS NOT DISTINCT FROM o.{name}" for name in (*by[:-1], "measure"))
         return f"""
-            SELECT {names}measure, max(texts) AS texts, min(bucket) FILTER (upto * 4 >= texts) AS q1,
-                   min(bucket) FILTER (upto * 4 >= texts * 3) AS q3
-            FROM (SELECT {names}measure, bucket, sum(n) OVER (PARTITION BY {names}measure ORDER BY bucket) AS upto,
-                         sum(n) OVER (PARTITION BY {names}measure) AS texts
-                  FROM (SELECT {names}measure, bucket, count(*) AS n FROM buckets GROUP BY {names}measure, bucket))
-            GROUP BY {names}measure"""
+            SELECT {names}measure, bucket, (sum(n) OVER (PARTITION BY {names}measure ORDER BY bucket)::DOUBLE + {PARENT_TEXTS} * share)
+                   / (sum(n) OVER (PARTITION BY {names}measure) + {PARENT_TEXTS})::DOUBLE AS share
+            FROM (SELECT {names}measure, bucket, sum(n) AS n, max(share) AS share
+                  FROM (SELECT {names}measure, bucket, 1 AS n, NULL AS share FROM buckets
+                        UNION ALL
+                        SELECT {"".join(f"g.{name}, " for name in by)}g.measure, o.bucket, 0, o.share
+                        FROM (SELECT DISTINCT {names}measure FROM buckets) g JOIN {parent} o ON {same})
+                  GROUP BY {names}measure, bucket)"""
 
-    pick = lambda q: (
-        f"CASE WHEN p.texts >= {LEAST_TEXTS} THEN p.{q} WHEN l.texts >= {LEAST_TEXTS} THEN l.{q} ELSE a.{q} END AS {q}"
-    )
     fails = " OR ".join(
         [f"{name} > {name}_high" for name in SLACK] + [f"{name} < {name}_low" for name in TWO_SIDED]
     )
@@ -63,12 +63,16 @@ def _oracle() -> str:
             FROM counts
         ), buckets AS (
             SELECT lang, source, measure, value - value % (1 << greatest(length(bin(value)) - 6, 0)) AS bucket FROM ({long})
+        ), of_all AS (
+            SELECT measure, bucket, (sum(n) OVER (PARTITION BY measure ORDER BY bucket))::DOUBLE
+                   / (sum(n) OVER (PARTITION BY measure))::DOUBLE AS share
+            FROM (SELECT measure, bucket, count(*) AS n FROM buckets GROUP BY measure, bucket)
+        ), of_lang AS ({shares("of_all", "lang")}
+        ), of_pair AS ({shares("of_lang", "lang", "source")}
         ), limits AS (
             SELECT lang, source, {pivot} FROM (
-                SELECT p.lang, p.source, p.measure, {pick("q1")}, {pick("q3")}
-                FROM ({quartiles("lang, source")}) p JOIN ({quartiles("lang")}) l
-                    ON p.lang IS NOT DISTINCT FROM l.lang AND p.measure = l.measure
-                JOIN ({quartiles("")}) a ON p.measure = a.measure)
+                SELECT lang, source, measure, min(bucket) FILTER (share * 4 >= 1) AS q1, min(bucket) FILTER (share * 4 >= 3) AS q3
+                FROM of_pair GROUP BY lang, source, measure)
             GROUP BY lang, source
         ), judged AS (
             SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {fails} AS fails

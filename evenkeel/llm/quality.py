@@ -4,9 +4,11 @@ Only DataFrame functions. One pass over the texts measures them; the measures ar
 The values of each measure are gathered in quantile sketches, one for each pair of
 language and source: counts by bucket, where a bucket holds numbers that agree in their
 six leading binary digits (a relative error of 1/32). Sketches merge by adding counts, so
-those of a language and of all texts are sums of these, and stand in where a pair has
-fewer than ``LEAST_TEXTS`` texts. A text fails where it lies beyond the quartiles of its
-group by more than ``SPREADS`` times their distance plus the measure's slack.
+those of a language and of all texts are sums of these. Each pair's sketch is merged with
+``PARENT_TEXTS`` texts spread as those of its language, whose sketch is merged with as
+many spread as all texts: a pair of few texts is judged as its language, and its own
+texts weigh more with each that is added. A text fails where it lies beyond the quartiles
+of its pair by more than ``SPREADS`` times their distance plus the measure's slack.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from evenkeel.llm.common import stored
 
 BLANK = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
-LEAST_TEXTS = 100
+PARENT_TEXTS = 100
 SPREADS = 3
 # Measures (whole numbers), and by how much each may pass its quartiles
 # whatever their distance. Shares are in thousandths.
@@ -95,33 +97,35 @@ def sketches(measures: DataFrame) -> DataFrame:
     )
 
 
-def _quartiles(sketch: DataFrame, *by: str) -> DataFrame:
-    """Texts and quartiles of the sketches merged over all but ``by``."""
+def _shares(sketch: DataFrame, parent: DataFrame | None, *by: str) -> DataFrame:
+    """(by, measure, bucket, share): share of the texts up to each bucket, merged with the parent's.
+
+    Every bucket of the parent is given, also those that the group has no text in.
+    """
+    own = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")
-    upto = group.orderBy("bucket")
-    merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
-    ranked = merged.withColumns({"upto": F.sum("n").over(upto), "all": F.sum("n").over(group)})
-    return ranked.groupBy(*by, "measure").agg(
-        F.first("all").alias("texts"),
-        *[F.min(F.when(F.col("upto") * 4 >= F.col("all") * k, F.col("bucket"))).alias(f"q{k}") for k in (1, 3)],
+    upto, texts = F.sum("n").over(group.orderBy("bucket")), F.sum("n").over(group)
+    if parent is None:
+        return own.select("measure", "bucket", (upto / texts).alias("share"))
+    of = parent.withColumnsRenamed({name: f"of_{name}" for name in (*by[:-1], "measure")})
+    same = [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in (*by[:-1], "measure")]
+    grid = own.select(*by, "measure").distinct().join(of, same)
+    both = grid.select(*by, "measure", "bucket", F.lit(0).alias("n"), "share").union(
+        own.select(*by, "measure", "bucket", "n", F.lit(None))
     )
+    filled = both.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"), F.max("share").alias("share"))
+    share = (upto + PARENT_TEXTS * F.col("share")) / (texts + PARENT_TEXTS)
+    return filled.select(*by, "measure", "bucket", share.alias("share"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """(lang, source) with ``<measure>_low`` and ``<measure>_high``."""
-    parts = [
-        _quartiles(sketch, "lang", "source").alias("pair"),
-        _quartiles(sketch, "lang").alias("lang"),
-        _quartiles(sketch).alias("all"),
-    ]
-    same = lambda a, b, *names: [F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in names]
-    joined = parts[0].join(parts[1], same("pair", "lang", "lang", "measure")).join(parts[2], same("pair", "all", "measure"))
-
-    def pick(name: str):
-        enough = [F.when(F.col(f"{p}.texts") >= LEAST_TEXTS, F.col(f"{p}.{name}")) for p in ("pair", "lang")]
-        return F.coalesce(*enough, F.col(f"all.{name}"))
-
-    rows = joined.select("pair.lang", "pair.source", "pair.measure", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    # A measure has at most 32 buckets for each of 63 lengths, so that this is a table of some thousand rows at any size.
+    root = F.broadcast(_shares(sketch, None))
+    shares = _shares(sketch, _shares(sketch, root, "lang"), "lang", "source")
+    rows = shares.groupBy("lang", "source", "measure").agg(
+        *[F.min(F.when(F.col("share") * 4 >= k, F.col("bucket"))).alias(f"q{k}") for k in (1, 3)]
+    )
     reach = F.col("q3") - F.col("q1")
     picks = []
     for name, slack in SLACK.items():

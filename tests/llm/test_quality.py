@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from evenkeel.llm.q_quality import COLUMNS, ORACLE, op6_quality
-from evenkeel.llm.quality import LEAST_TEXTS, quality, sketches, _measures, measured
+from evenkeel.llm.quality import PARENT_TEXTS, SLACK, SPREADS, _measures, measured, quality, sketches, thresholds
 from oracle import assert_same, duck
 
 DATA = "/root/testdata"
@@ -42,14 +42,31 @@ def test_rows_of_all_kinds(spark):
 
 
 def test_thresholds_follow_their_group(spark):
-    tidy = [(i, " ".join(f"w{(i * 31 + j) % 997}x{j}" for j in range(60)), "en", "prose", "", 1, 1) for i in range(LEAST_TEXTS)]
-    tables = [(1000 + i, " | ".join(f"c{i}x{j}" for j in range(60)), "en", "tables", "", 1, 1) for i in range(LEAST_TEXTS)]
+    tidy = [(i, " ".join(f"w{(i * 31 + j) % 997}x{j}" for j in range(60)), "en", "prose", "", 1, 1) for i in range((4 * PARENT_TEXTS))]
+    tables = [(1000 + i, " | ".join(f"c{i}x{j}" for j in range(60)), "en", "tables", "", 1, 1) for i in range((4 * PARENT_TEXTS))]
     odd = [(5000, " | ".join(f"c{j}" for j in range(60)), "en", "prose", "", 1, 1)]
     got = {r.doc_id: r for r in quality(spark.createDataFrame(tidy + tables + odd, SCHEMA)).collect()}
     assert got[5000].failed_rules [:1] == ["symbol_share_high"] and not got[5000].kept
     assert all(got[r[0]].kept for r in tidy + tables)
 
 
+def test_a_pair_leaves_its_parent_by_and_by(spark):
+    """The limits of a pair, from none of its weight to most of it, against plain weighting of the values."""
+    few = 16000
+    seen = []
+    for n in (0, 1, 10, 60, 99, 100, 101, 300, 2000):
+        rows = [("en", "a", "mean_word", 8000, 900)] + ([("en", "b", "mean_word", few, n)] if n else [])
+        got = {r.source: r for r in thresholds(spark.createDataFrame(rows, "lang string, source string, measure string, bucket long, n long")).collect()}
+        up_all = 900 / (900 + n)  # share of all texts, and of the language, at 8000
+        up = {"a": (900 + PARENT_TEXTS * up_all) / (900 + PARENT_TEXTS), "b": PARENT_TEXTS * up_all / (n + PARENT_TEXTS)}
+        for source in got:
+            q1, q3 = (8000 if up[source] * 4 >= k else few for k in (1, 3))
+            assert got[source].mean_word_high == q3 + SPREADS * (q3 - q1) + SLACK["mean_word"]
+            assert got[source].mean_word_low == q1 - SPREADS * (q3 - q1) - SLACK["mean_word"]
+        seen += [got["b"].mean_word_low] if n else []
+    assert seen[0] == 8000 - SLACK["mean_word"] and seen[-1] == few - SLACK["mean_word"]
+
+
 def test_sketches_merge(spark):
     docs = spark.createDataFrame([(i, f"a{'b' * (i % 40)} " * 60, "en", f"s{i % 4}", "", 1, 1) for i in range(200)], SCHEMA)
     of = lambda df: {tuple(r)[:4]: r.n for r in sketches(_measures(measured(df))).collect()}
@@ -57,6 +74,6 @@ def test_sketches_merge(spark):
     assert both == Counter(of(docs))
 
 
-@pytest.mark.parametrize("sf", ["sf0.001"])
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_same_as_sql(spark, sf):
     assert_same(op6_quality(spark, f"{DATA}/{sf}"), duck(f"{DATA}/{sf}"), ORACLE)
