@@ -120,16 +120,17 @@ def write_records(
             store.open_output_stream(f"{attempt}.idx") as index,
         ):
             for batch in batches:
-                ids = batch.column("doc_id").to_pylist()
-                for doc_id, text in zip(ids, texts_of(batch.column("text")), strict=True):
+                encoded = encode.batch(texts_of(batch.column("text")))
+                entries = []
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
                     doc_id = NO_ID if doc_id is None else doc_id
-                    encoded = encode.ids(text)
-                    framed = record(doc_id, encoded, width)
+                    framed = record(doc_id, ids, width)
                     data.write(framed)
-                    index.write(np.array([(doc_id, offset, tokens)], INDEX).tobytes())
+                    entries.append((doc_id, offset, tokens))
                     offset += len(framed)
-                    tokens += len(encoded)
-                    records += 1
+                    tokens += len(ids)
+                index.write(np.array(entries, INDEX).tobytes())
+                records += len(entries)
         store.move(f"{attempt}.rec", f"{name}.rec")
         store.move(f"{attempt}.idx", f"{name}.idx")
         yield pa.RecordBatch.from_pydict(
