@@ -14,6 +14,7 @@ a monotone queue keeps; the second looks up the few places at these distances.
 
 from __future__ import annotations
 
+import functools
 from collections import deque
 from collections.abc import Iterator
 
@@ -40,8 +41,8 @@ def best_cuts(positions: list[int], costs: list[int], window: int = WINDOW, wind
 
     ``positions`` ascend, at most ``window`` apart. Ties go to the longer window.
     """
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
-    place = {position: i for i, position in enumerate(positions)}
+    ends, starts = _at_powers(np.asarray(positions), window)
+    near = 0  # of the pairs in ``ends`` and ``starts``, the next
     best, back = [0] * len(positions), [0] * len(positions)
     queue = deque([(positions[0], 0)])  # of (best + position, index), ascending in both
     for j in range(1, len(positions)):
@@ -50,10 +51,11 @@ def best_cuts(positions: list[int], costs: list[int], window: int = WINDOW, wind
             queue.popleft()
         least, i = queue[0]
         least += window - at
-        for power in powers:
-            k = place.get(at - power)
-            if k is not None and (best[k] < least or best[k] == least and k < i):
+        while ends[near] == j:
+            k = starts[near]
+            if best[k] < least or best[k] == least and k < i:
                 least, i = best[k], k
+            near += 1
         best[j] = least + costs[j] + window_cost
         back[j] = i
         value = best[j] + at
@@ -66,8 +68,22 @@ def best_cuts(positions: list[int], costs: list[int], window: int = WINDOW, wind
     return chosen[::-1]
 
 
+def _at_powers(positions: np.ndarray, window: int) -> tuple[list[int], list[int]]:
+    """Pairs of places, end and start, a power of two apart; ascending by end, -1 behind the last."""
+    ends, starts = [], []
+    for k in range(window.bit_length()):
+        wanted = positions - (1 << k)
+        start = np.searchsorted(positions, wanted)
+        end = np.flatnonzero(positions[start] == wanted)
+        ends.append(end)
+        starts.append(start[end])
+    ends, starts = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(ends, kind="stable")
+    return [*ends[order].tolist(), -1], starts[order].tolist()
+
+
 class Places:
-    """Where the ids of one document may be cut."""
+    """Where the ids of documents may be cut."""
 
     def __init__(self, vocabulary: str):
         tokenizer = encoder(vocabulary).tokenizer
@@ -79,12 +95,19 @@ class Places:
             self.ends[i] = name.rstrip("\"')]").endswith((".", "!", "?", "Ċ"))
             self.opens[i] = name.startswith(("Ġ", "Ċ"))
 
-    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions behind the first id up to the document's end, and their costs."""
-        n = len(ids)
-        inner = np.flatnonzero(self.ends[ids[: n - 2]] & self.opens[ids[1 : n - 1]]) + 1 if n > 2 else np.empty(0, np.int64)
-        positions = np.append(inner, n)
-        costs = np.append(np.full(len(inner), SENTENCE_COST), 0)
+    def of(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions behind the first id up to the last, and their costs.
+
+        ``ids`` are documents one after another; ``ends``: where each ends.
+        """
+        cut = np.zeros(len(ids) + 1, bool)
+        cut[1:-1] = self.ends[ids[:-1]] & self.opens[ids[1:]]
+        cut[ends - 1] = False  # the end id stays with its document
+        cut[ends] = True
+        cut[0] = False
+        positions = np.flatnonzero(cut)
+        costs = np.full(len(positions), SENTENCE_COST)
+        costs[np.searchsorted(positions, ends)] = 0
         gaps = np.diff(positions, prepend=0)
         if (gaps > LONG_SENTENCE).any():
             more = np.concatenate(
@@ -97,6 +120,12 @@ class Places:
         return positions, costs
 
 
+@functools.cache
+def _places(vocabulary: str) -> Places:
+    """One table per worker process."""
+    return Places(vocabulary)
+
+
 PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -114,17 +143,16 @@ class Packer:
     """Packs a stream of documents, holding a block of them at a time."""
 
     def __init__(self, vocabulary: str, first_sequence: int, block: int = BLOCK):
-        self.places, self.sequence, self.block = Places(vocabulary), first_sequence, block
+        self.places, self.sequence, self.block = _places(vocabulary), first_sequence, block
         # Documents not yet given out whole: (doc_id, ids, ids given out before).
         self.docs: list[tuple[int | None, np.ndarray, int]] = []
-        self.positions, self.costs = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        self.fresh: list[np.ndarray] = []  # ids whose places are not known yet
+        self.positions, self.costs = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.tokens = 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> list[tuple]:
-        positions, costs = self.places.of(ids)
         self.docs.append((doc_id, ids, 0))
-        self.positions.append(positions + self.tokens)
-        self.costs.append(costs)
+        self.fresh.append(ids)
         self.tokens += len(ids)
         return self.flush() if self.tokens >= self.block else []
 
@@ -132,7 +160,13 @@ class Packer:
         """Pieces of the windows chosen so far; the open one at the end waits for more."""
         if not self.tokens:
             return []
-        positions, costs = np.concatenate(self.positions), np.concatenate(self.costs)
+        positions, costs = self.positions, self.costs
+        if self.fresh:
+            ids, ends = np.concatenate(self.fresh), np.cumsum([len(ids) for ids in self.fresh])
+            found = self.places.of(ids, ends)
+            positions = np.concatenate([positions, found[0] + self.tokens - len(ids)])
+            costs = np.concatenate([costs, found[1]])
+            self.fresh = []
         chosen = best_cuts(positions.tolist(), costs.tolist())
         cuts = positions[chosen]
         if not last:
@@ -159,7 +193,7 @@ class Packer:
             rest[0] = (doc_id, ids, done + given - offset)
         self.docs = rest
         kept = chosen[-1] if last else chosen[-2]
-        self.positions, self.costs = [positions[kept:] - given], [costs[kept:]]
+        self.positions, self.costs = positions[kept:] - given, costs[kept:]
         self.tokens -= given
         return out
 
@@ -189,8 +223,9 @@ def pack(
             yield from table_batches(dict(zip(PIECES.names, map(list, columns), strict=True)), PIECES)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text")), strict=True):
-                if pieces := packer.add(doc_id, encode.ids(text)):
+            encoded = encode.batch(texts_of(batch.column("text")))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
+                if pieces := packer.add(doc_id, ids):
                     yield from rows(pieces)
         if pieces := packer.flush(last=True):
             yield from rows(pieces)

@@ -1,14 +1,18 @@
 """Token records and packing against plain encoding of each text."""
 
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 from evenkeel.llm import packing, records
+from evenkeel.llm.q_packing import op8_packing
+from evenkeel.llm.q_records import op3_token_records
 from evenkeel.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,12 +49,58 @@ def by_order(rows):
 
 
 def test_store_of_words_changes_nothing():
-    small = Encoder(PATH, most_words=5)
+    small = Encoder(PATH, most_bytes=1000)
     for _ in range(2):
         for text in TEXTS:
             assert small.ids(text or "").tolist() == plain(text)
 
 
+def test_signs_at_the_borders_of_pieces():
+    rng = random.Random(3)
+    signs = ["a", "B", "7", "the", "'s", "'", ".", ",)", "-", "_", " ", "  ", "\n", "\t", "\x1c", "\x85", "\0", "é", "²", "漢", "\u0301", "🙂"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 12))) for _ in range(6000)]
+    got = Encoder(PATH).batch(texts)
+    assert all(ids.tolist() == plain(text) for text, ids in zip(texts, got, strict=True))
+
+
+def rows_of(sf):
+    table = pq.read_table(f"/root/testdata/{sf}/documents.parquet", columns=["doc_id", "text"])
+    return sorted(zip(*(table[c].to_pylist() for c in table.column_names), strict=True))
+
+
+def test_query_of_records(spark):
+    expected, start = [], 0
+    for doc_id, text in rows_of("sf0.001"):
+        ids = plain(text)
+        expected.append((doc_id, start, len(ids), crc(ids)))
+        start += len(ids)
+    got = op3_token_records(spark, "/root/testdata/sf0.001")
+    assert sorted(map(tuple, got.select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == expected
+
+
+def test_query_of_packing(spark):
+    pieces = op8_packing(spark, "/root/testdata/sf0.001").collect()
+    parts, windows = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        parts[p.doc_id].append(p)
+        windows[p.sequence_id].append((p.offset, p.length))
+    docs = rows_of("sf0.001")
+    assert set(parts) == {doc_id for doc_id, _ in docs}
+    for doc_id, text in docs:
+        ids, at = plain(text), 0
+        for p in sorted(parts[doc_id], key=lambda p: p.start):
+            assert (p.start, p.doc_tokens) == (at, len(ids))
+            assert p.ids_crc32 == crc(ids[at : at + p.length])
+            at += p.length
+        assert at == len(ids)
+    for window in windows.values():
+        at = 0
+        for offset, length in sorted(window):
+            assert offset == at
+            at += length
+        assert at <= packing.WINDOW
+
+
 @pytest.mark.parametrize("shards", [1, 5, None])
 def test_records_round_trip(spark, tmp_path, shards):
     docs = spark.createDataFrame(ROWS, SCHEMA).repartition(4)
