@@ -118,6 +118,8 @@ def _double_text(value: str) -> str:
 
     The JVM writes ``1.2345678E7`` outside [1e-3, 1e7); Python goes on in plain
     digits down to 1e-4 and up to 1e16 and writes exponents as ``e-05`` / ``e+16``.
+    Beyond these the JVM up to version 18 may write more digits than needed: a text of
+    fewer stands if it reads as the same number.
     """
     jvm = f"CAST({value} AS STRING)"
     size = f"abs({value})"
@@ -125,12 +127,15 @@ def _double_text(value: str) -> str:
     # after it hold every number between 1e-4 and 1e16 as printed there.
     unpadded = f"rtrim('0', CAST(CAST({value} AS DECIMAL(38, 21)) AS STRING))"
     plain = f"regexp_replace({unpadded}, '[.]$', '.0')"
-    mantissa = f"regexp_replace(substring_index({jvm}, 'E', 1), '[.]0$', '')"
-    exponent = f"CAST(substring_index({jvm}, 'E', -1) AS INT)"
-    # %+03d is a sign and at least two digits
-    scientific = f"concat({mantissa}, format_string('e%+03d', {exponent}))"
+    digits = f"length(substring_index({jvm}, 'E', 1)) - CAST({value} < 0 AS INT) - 1"
+    of_length = lambda n: f"format_string(concat('%.', greatest({n} - 1, 0), 'E'), {value})"
+    tries = [(f"{digits} > {n} AND ", of_length(n)) for n in (15, 16)] + [("", of_length(f"{digits} - 1"))]
+    shorter = " ".join(f"WHEN {longer}CAST({text} AS DOUBLE) = {value} THEN {text}" for longer, text in tries)
+    # 1.50E+17 becomes 1.5e+17: the exponent has a sign and at least two digits already
+    scientific = f"regexp_replace(CASE {shorter} ELSE {of_length(digits)} END, '[.]?0*E', 'e')"
     return (
-        f"CASE WHEN {size} >= 1e-3 AND {size} < 1e7 OR {value} = 0 THEN {jvm}"
+        f"CASE WHEN {value} IS NULL THEN NULL"
+        f" WHEN {size} >= 1e-3 AND {size} < 1e7 OR {value} = 0 THEN {jvm}"
         f" WHEN {size} >= 1e-4 AND {size} < 1e16 THEN {plain}"
         f" WHEN isnan({value}) THEN 'nan'"
         f" WHEN {value} = double('infinity') THEN 'inf'"

@@ -59,13 +59,20 @@ def test_floats_keep_their_short_text(spark):
 
 
 def test_any_bit_pattern_names_the_same_double(spark):
-    # Up to Java 18 the JVM may print a digit too many outside 1e-4 .. 1e16.
     rng = random.Random(8)
-    values = [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(20000)]
+    values = [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(60000)]
     got = texts(spark, values, T.DoubleType())
     assert all(float(text) == value or value != value for text, value in zip(got, values, strict=True))
+    # Up to Java 18 the JVM's own digits may round to a neighbour of the nearest text of 16 digits.
     equal = sum(text == python_text(value) for text, value in zip(got, values, strict=True))
-    assert equal > 0.99 * len(values)
+    assert equal >= len(values) - 12
+
+
+def test_few_digits_at_all_exponents(spark):
+    rng = random.Random(9)
+    values = [rng.choice((-1, 1)) * float(f"{rng.randint(1, 10**9)}e{rng.randint(-330, 298)}") for _ in range(20000)]
+    values += [float(f"1e{n}") for n in range(-323, 309)] + [5e-324 * n for n in range(1, 500)]
+    assert texts(spark, values, T.DoubleType()) == [python_text(v) for v in values]
 
 
 def test_times(spark):
