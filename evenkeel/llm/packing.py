@@ -71,10 +71,12 @@ def best_cuts(positions: list[int], costs: list[int], window: int = WINDOW, wind
 def _at_powers(positions: np.ndarray, window: int) -> tuple[list[int], list[int]]:
     """Pairs of places, end and start, a power of two apart; ascending by end, -1 behind the last."""
     ends, starts = [], []
+    shifted = positions - positions[0] + window  # so that no place looked at lies below 0
+    index = np.full(int(shifted[-1]) + 1, -1, np.int32)  # of the place at each position
+    index[shifted] = np.arange(len(positions), dtype=np.int32)
     for k in range(window.bit_length()):
-        wanted = positions - (1 << k)
-        start = np.searchsorted(positions, wanted)
-        end = np.flatnonzero(positions[start] == wanted)
+        start = index[shifted - (1 << k)]
+        end = np.flatnonzero(start >= 0)
         ends.append(end)
         starts.append(start[end])
     ends, starts = np.concatenate(ends), np.concatenate(starts)

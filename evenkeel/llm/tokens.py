@@ -16,11 +16,26 @@ END = 0
 APART = "\0"
 # White space as the library sees it, and all else: Python counts four separators more.
 BLANK, SIGN = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
+# Letters and digits of any version of Unicode, for a character class.
+ALNUM = "0-9A-Za-zÀ-ÖØ-öø-ɏ"
 GROUP_CHARS = 1 << 20  # characters of texts that are split at a time
 CHUNK = 256  # pieces that one call of the library gets as one string
 ENTRY_BYTES = 200  # what an entry of the store takes beside its signs
 
 
+class _Known(dict):
+    """Ids of pieces, as bytes. A piece that is not known gets an empty buffer, to be filled."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> bytearray:
+        self.new.append(piece)
+        buffer = self[piece] = bytearray()
+        return buffer
+
+
 class Encoder:
     """``Tokenizer.encode(text, add_special_tokens=False)`` with a store of words.
 
@@ -28,8 +43,8 @@ class Encoder:
     what follows it, so each such piece of a text is encoded once and then looked up.
     Byte-level splitting also parts a letter or digit from the signs behind it: there the
     signs that close a piece are a piece of their own, and many pieces are encoded as one
-    string with a sign between them that is a token of its own. The store is emptied when
-    it holds ``most_bytes``. Texts that hold the string of an added token are encoded as
+    string with a sign between them that is a token of its own. The store is emptied once
+    it holds more than ``most_bytes``. Texts that hold the string of an added token are encoded as
     a whole.
     """
 
@@ -42,10 +57,10 @@ class Encoder:
         self.added = re.compile("|".join(map(re.escape, added))).search if added else None
         self.apart = self._apart()
         # The first branch is the second's commonest case, told quicker.
-        closed = "" if self.apart is None else rf" [0-9A-Za-z]++(?= )|{BLANK}*{SIGN}*[0-9A-Za-z](?=[{re.escape(string.punctuation)}]*(?:{BLANK}|\Z))|"
+        closed = "" if self.apart is None else rf" [{ALNUM}]++(?= )|{BLANK}*{SIGN}*[{ALNUM}](?=[{re.escape(string.punctuation)}]*(?:{BLANK}|\Z))|"
         self.pieces = re.compile(rf"{closed}{BLANK}*{SIGN}+|{BLANK}+").findall
-        self.joinable = re.compile(rf"(?:{BLANK}|[0-9A-Za-z])(?:[^{APART}]*[0-9A-Za-z])?(?<=[0-9A-Za-z])\Z").match
-        self.known: dict[str, bytes] = {}
+        self.joinable = re.compile(rf"(?:{BLANK}|[{ALNUM}])(?:[^{APART}]*[{ALNUM}])?(?<=[{ALNUM}])\Z").match
+        self.known = _Known()
         self.most_bytes, self.held = most_bytes, 0
 
     def _apart(self) -> int | None:
@@ -75,12 +90,17 @@ class Encoder:
             data = ids.tobytes()
             yield from map(data.__getitem__, map(slice, [0, *(end + 4 for end in ends)], [*ends, len(data)]))
 
-    def _store(self, pieces: set[str]) -> None:
-        """Encode pieces that are not in the store."""
-        joined = [] if self.apart is None else list(filter(self.joinable, pieces))
-        self.known.update(zip(joined, self._joined(joined), strict=True))
-        whole = list(pieces.difference(joined))
-        self.known.update(zip(whole, self._plain(whole), strict=True))
+    def _store(self) -> None:
+        """Encode the pieces that were asked for and not known."""
+        known, new = self.known, self.known.new
+        self.held += sum(map(len, new)) * 3 + len(new) * ENTRY_BYTES
+        joined = [] if self.apart is None else list(filter(self.joinable, new))
+        whole = list(set(new).difference(joined)) if len(joined) < len(new) else []
+        for pieces, encoded in ((joined, list(self._joined(joined))), (whole, self._plain(whole))):
+            for piece, ids in zip(pieces, encoded, strict=True):
+                known[piece].extend(ids)  # in the texts that wait for it
+                known[piece] = ids
+        new.clear()
 
     def batch(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """For each text its ids, then ``END``."""
@@ -94,23 +114,28 @@ class Encoder:
         yield from self._group(group)
 
     def _group(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [None if self.added and self.added(text) else self.pieces(text) for text in texts]
-        known = self.known
-        new = set().union(*filter(None, split)).difference(known)
-        if new:
-            self.held += sum(map(len, new)) * 3 + len(new) * ENTRY_BYTES
-            if self.held > self.most_bytes:
-                known.clear()
-                self.held = 0
-                new = set().union(*filter(None, split))
-            self._store(new)
-        for text, pieces in zip(texts, split, strict=True):
-            joined = self._plain([text])[0] if pieces is None else b"".join(map(known.__getitem__, pieces))
+        known, added, pieces = self.known, self.added, self.pieces
+        try:
+            # A text's pieces are looked up as soon as it is split, while they are at hand.
+            found = [None if added and added(text) else list(map(known.__getitem__, pieces(text))) for text in texts]
+            self._store()
+        except BaseException:
+            self._empty()  # of buffers that were not filled
+            raise
+        if self.held > self.most_bytes:
+            self._empty()
+        for text, parts in zip(texts, found, strict=True):
+            joined = self._plain([text])[0] if parts is None else b"".join(parts)
             out = np.empty(len(joined) // 4 + 1, "<u4")
             out[:-1] = np.frombuffer(joined, "<u4")
             out[-1] = END
             yield out
 
+    def _empty(self) -> None:
+        self.known.clear()
+        self.known.new.clear()
+        self.held = 0
+
     def ids(self, text: str) -> np.ndarray:
         """The ids of ``text``, then ``END``."""
         return next(self.batch([text]))

@@ -63,6 +63,30 @@ def test_signs_at_the_borders_of_pieces():
     assert all(ids.tolist() == plain(text) for text, ids in zip(texts, got, strict=True))
 
 
+def test_signs_behind_letters_with_accents_are_pieces_of_their_own():
+    encode = Encoder(PATH)
+    texts = [" caffè", " caffè,", " caffè...", ' caffè")', " cafés cafés!"]
+    assert [ids.tolist() for ids in encode.batch(texts)] == [plain(text) for text in texts]
+    assert sum("caffè" in piece for piece in encode.known) == 1
+    assert sum("cafés" in piece for piece in encode.known) == 1
+
+
+def test_each_sign_of_the_letters_that_close_a_piece():
+    signs = [chr(c) for c in range(0xA0, 0x300)]
+    texts = [f"a{c}, {c}b {c}\n{c}! x{c}7{c}" for c in signs] + ["".join(signs), " ".join(signs)]
+    got = Encoder(PATH).batch(texts)
+    assert all(ids.tolist() == plain(text) for text, ids in zip(texts, got, strict=True))
+
+
+def test_pieces_of_a_failed_call_are_not_kept(monkeypatch):
+    encode = Encoder(PATH)
+    encode.ids("one two")
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(encode, "_joined", lambda pieces: (_ for _ in ()).throw(OSError()))
+        encode.ids("two three four")
+    assert encode.ids("two three four").tolist() == plain("two three four")
+
+
 def rows_of(sf):
     table = pq.read_table(f"/root/testdata/{sf}/documents.parquet", columns=["doc_id", "text"])
     return sorted(zip(*(table[c].to_pylist() for c in table.column_names), strict=True))
