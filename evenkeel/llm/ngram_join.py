@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import free_name, offsets_of, stored
+from evenkeel.llm.common import free_name, offsets_of, stored, tidied
 from evenkeel.llm.components import components
 from evenkeel.llm.shingles import shingle_sets
 
@@ -89,7 +89,7 @@ def set_digests(docs: DataFrame) -> DataFrame:
                 schema=SETS,
             )
 
-    return docs.mapInArrow(told, "doc_id long, n_shingles long, digest binary")
+    return docs.mapInArrow(tidied(told), "doc_id long, n_shingles long, digest binary")
 
 
 def _pack40(rest: np.ndarray) -> bytes:
@@ -478,26 +478,26 @@ def set_links(docs: DataFrame, docs_in_slice: int = DOCS_IN_SLICE) -> DataFrame:
     bits = min(24, max(5, math.ceil(math.log2(max(1, docs.count() / docs_in_slice)))))
     slices = 1 << bits
     texts = docs.select("text")
-    dealt = texts.mapInArrow(_deal(bits), "slice long, flush long, tokens binary, owners binary")
+    dealt = texts.mapInArrow(tidied(_deal(bits)), "slice long, flush long, tokens binary, owners binary")
     shared = dealt.groupBy("slice").applyInArrow(_in_slice, SHARED_SQL)
     left = shared.groupBy("flush").applyInArrow(_of_flush, LEFT_SQL)
     left = stored(left, "candidates")
     groups = stored(
-        left.repartitionByRange("least", "n", "digest").sortWithinPartitions("least", "n", "digest").mapInArrow(_grouped, GROUP_SQL),
+        left.repartitionByRange("least", "n", "digest").sortWithinPartitions("least", "n", "digest").mapInArrow(tidied(_grouped), GROUP_SQL),
         "groups",
     )
     hits = (
-        groups.mapInArrow(_probes(slices), "slice long, gid long, tokens binary, members binary")
+        groups.mapInArrow(tidied(_probes(slices)), "slice long, gid long, tokens binary, members binary")
         .groupBy("slice")
         .applyInArrow(_hits, "g long, h long, members binary")
         .groupBy("g", "h")
         .agg(F.collect_list("members").alias("asks"))  # a slice gives a pair once
     )
     queries = hits.join(groups, hits["g"] == groups["gid"]).drop("g").mapInArrow(
-        _queries, "h long, " + ", ".join(f"q_{part}" for part in GROUP_SQL.split(", "))
+        tidied(_queries), "h long, " + ", ".join(f"q_{part}" for part in GROUP_SQL.split(", "))
     )
-    opened = queries.join(groups, queries["h"] == groups["gid"]).drop("h").mapInArrow(_opened, LINKS_SQL)
-    return opened.unionAll(groups.mapInArrow(_within, LINKS_SQL))
+    opened = queries.join(groups, queries["h"] == groups["gid"]).drop("h").mapInArrow(tidied(_opened), LINKS_SQL)
+    return opened.unionAll(groups.mapInArrow(tidied(_within), LINKS_SQL))
 
 
 def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", docs_in_slice: int = DOCS_IN_SLICE) -> DataFrame:

@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import table_batches, texts_of
-from evenkeel.llm.tokens import encoder
+from evenkeel.llm.common import table_batches, texts_of, tidied
+from evenkeel.llm.tokens import STORE, encoder
 
 WINDOW = 1024
 SENTENCE_COST = 6
@@ -235,7 +235,7 @@ def pack(
     return (
         named.repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(packed, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+        .mapInArrow(tidied(packed, STORE), "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     )
 
 

@@ -15,7 +15,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18  # bytes of texts at a time: the arrays of 64-bit numbers take some fifty times that
 
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 

@@ -10,6 +10,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from evenkeel.llm.common import kept_for
+
+STORE = "tokens"  # where a worker keeps its encoders
 # Fixed value: the id that ends each document.
 END = 0
 # A sign that byte-level splitting keeps apart from letters, digits and white space.
@@ -141,11 +144,9 @@ class Encoder:
         return next(self.batch([text]))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One encoder per worker process, so that tasks share its store."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    encoders = kept_for(STORE)
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]

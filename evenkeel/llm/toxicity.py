@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import LETTERS, fold, free_name, stored, texts_of
+from evenkeel.llm.common import LETTERS, fold, free_name, stored, texts_of, tidied
 
 # Plain insults, by language.
 SEED_WORDS = (
@@ -260,7 +260,7 @@ def _labelled(docs: DataFrame, one: DataFrame, learnable: Column) -> DataFrame:
     told = hashed.select("doc_id", "h", "g").hint("merge").join(one.hint("merge"), "doc_id")
     witnesses = told.groupBy("h", "g").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    packed = hashed.mapInArrow(_pack, f"doc_id {kind}, h long, g long, words binary, patterns int")
+    packed = hashed.mapInArrow(tidied(_pack), f"doc_id {kind}, h long, g long, words binary, patterns int")
     keys = ["doc_id", "h", "g"]
     joined = packed.hint("merge").join(witnesses.hint("merge"), keys)
     # A row that repeats its id and text has its copies beside it here.
@@ -300,7 +300,7 @@ def _entry_counts(labelled: DataFrame) -> DataFrame:
                     yield from emitted()
         yield from emitted()
 
-    counted = labelled.select("words", "toxic").mapInArrow(count, "entry string, clean long, toxic long")
+    counted = labelled.select("words", "toxic").mapInArrow(tidied(count), "entry string, clean long, toxic long")
     return counted.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
@@ -356,7 +356,7 @@ def _fit(prepared: _Prepared, patterns: dict[int, int], most: tuple[int, int]) -
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32())), pa.array(votes, pa.int64()), batch.column("toxic")], schema=schema)
 
     sample = _sample(prepared.labelled, most).select("words", "patterns", "toxic", "h", "g")
-    rows = sample.orderBy("h", "g").mapInArrow(found, "entries array<int>, votes long, toxic int").collect()
+    rows = sample.orderBy("h", "g").mapInArrow(tidied(found), "entries array<int>, votes long, toxic int").collect()
     bits = lambda masks: (np.array(masks, np.int64)[:, None] >> np.arange(n_voters)) & 1
     model = LabelModel(n_voters, abstaining=True)
     start = np.zeros(len(names) + 1)
